@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from furlong.functions.parsing import FLOAT_PATTERN, float_from_text, integral_from_text
+from furlong.operators.stage import compute_once
 
 # Texts that count as booleans, in any letter case.
 TRUE_WORDS = ("1", "on", "t", "true", "y", "yes")
@@ -29,12 +30,23 @@ FALSE_WORDS = ("0", "off", "f", "false", "n", "no")
 RECORD = "record"
 ERRORS = "gate_errors"
 UNREADABLE = "record"
+OBJECT_LIST = "OBJECTS"
 
 
 def _number(kind: Column) -> Column:
     return kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
 
 
+def _kind(value: Column, dtype: T.DataType) -> Column:
+    """JSON kind of a value. For a list only: absent, objects, or anything else."""
+    if not isinstance(dtype, T.ArrayType):
+        return F.schema_of_variant(value)
+    objects = F.forall(_get(value, "array<variant>"), lambda e: F.schema_of_variant(e).startswith("OBJECT"))
+    return F.when(value.isNull() | F.is_variant_null(value), "VOID").otherwise(
+        F.when(objects, F.lit(OBJECT_LIST)).otherwise("OTHER")
+    )
+
+
 def _get(value: Column, dtype: str) -> Column:
     return F.try_variant_get(value, "$", dtype)
 
@@ -61,8 +73,7 @@ class _Field:
         if isinstance(d, T.BooleanType):
             return (kind == "BOOLEAN") | self._boolean().isNotNull()
         if isinstance(d, T.ArrayType):
-            elements = _get(self.value, "array<variant>")
-            return F.forall(elements, lambda e: F.schema_of_variant(e).startswith("OBJECT"))
+            return kind == OBJECT_LIST
         raise TypeError(f"no gate rule for {d}")
 
     def _integer(self) -> Column:
@@ -109,21 +120,19 @@ def gate(
     record itself too, so that a reject can be stored with its cause. A record that is not
     a JSON object has the single error ``record``.
     """
-    raw = df.select(
-        *keep,
-        record,
-        *[F.try_variant_get(record, paths[f.name], "variant").alias(f"_v_{f.name}") for f in schema.fields],
-    )
-    kinds = raw.select(
-        "*", *[F.schema_of_variant(f"_v_{f.name}").alias(f"_k_{f.name}") for f in schema.fields]
-    )
+    # Values and kinds are looked up once; the filter on the result reads them.
+    looked_up: dict[str, Column] = {"_is_object": F.coalesce(F.schema_of_variant(record).startswith("OBJECT"), F.lit(False))}
+    for f in schema.fields:
+        value = F.try_variant_get(record, paths[f.name], "variant")
+        looked_up[f"_v_{f.name}"] = value
+        looked_up[f"_k_{f.name}"] = _kind(value, f.dataType)
+    values = compute_once(df, [*keep, record], looked_up)
     fields = {f.name: _Field(F.col(f"_v_{f.name}"), F.col(f"_k_{f.name}"), f.dataType) for f in schema.fields}
-    is_object = F.coalesce(F.schema_of_variant(record).startswith("OBJECT"), F.lit(False))
     wrong = F.array_compact(
         F.array(*[F.when(~f.accepts(), F.lit(name)) for name, f in fields.items()])
     )
-    errors = F.when(is_object, wrong).otherwise(F.array(F.lit(UNREADABLE)))
-    return kinds.select(
+    errors = F.when(F.col("_is_object"), wrong).otherwise(F.array(F.lit(UNREADABLE)))
+    return values.select(
         *keep,
         *[fields[f.name].typed().alias(f.name) for f in schema.fields],
         errors.alias(ERRORS),

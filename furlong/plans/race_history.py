@@ -9,6 +9,7 @@ from furlong.functions.keys import meeting_id, race_id, slug_or_track, track_cod
 from furlong.functions.parsing import distance_meters, prize_total, unreadable
 from furlong.functions.tracks import with_mapped_code
 from furlong.operators.keyed import first_per_key
+from furlong.operators.stage import compute_once
 from furlong.schemas import RACE
 from furlong.sources.landing import forms, meetings
 
@@ -26,19 +27,29 @@ def first_failures(responses: DataFrame) -> DataFrame:
     return failed.groupBy(*_MEETING).agg(F.min("race_num").alias("first_failure"))
 
 
-def answered_prefix(responses: DataFrame, races_per_meeting: int = RACES_PER_MEETING) -> DataFrame:
-    """Responses that a reader gets who asks for races 1, 2, ... and stops at the first failure.
+def before_failure(read: DataFrame, failures: DataFrame) -> DataFrame:
+    """Rows below the first failed race number of their meeting.
 
     Failures are few and counted before the shuffle. A window per meeting would gather a whole
     meeting in one task; a join lets the planner split a hot one.
     """
-    asked = responses.where(F.col("race_num").between(1, races_per_meeting))
-    read = asked.where(F.col("http_status") == 200)
-    return (
-        read.join(first_failures(asked), _MEETING, "left")
-        .where(F.col("first_failure").isNull() | (F.col("race_num") < F.col("first_failure")))
-        .select(*responses.columns)
-    )
+    below = F.col("first_failure").isNull() | (F.col("race_num") < F.col("first_failure"))
+    return read.join(failures, _MEETING, "left").where(below).select(*read.columns)
+
+
+def asked(responses: DataFrame, races_per_meeting: int = RACES_PER_MEETING) -> DataFrame:
+    """Responses to the race numbers that are asked for."""
+    return responses.where(F.col("race_num").between(1, races_per_meeting))
+
+
+def answered(responses: DataFrame) -> DataFrame:
+    return responses.where(F.col("http_status") == 200)
+
+
+def answered_prefix(responses: DataFrame, races_per_meeting: int = RACES_PER_MEETING) -> DataFrame:
+    """Responses that a reader gets who asks for races 1, 2, ... and stops at the first failure."""
+    wanted = asked(responses, races_per_meeting)
+    return before_failure(answered(wanted), first_failures(wanted))
 
 
 def _kind(name: str) -> Column:
@@ -70,18 +81,18 @@ def parse_forms(responses: DataFrame) -> DataFrame:
         "class": _kind("raceClass"), "date": _kind("date"), "condition": _kind("condition"),
         "field": _kind("numberOfRunners"),
     }
-    texts = forms(responses).select(
-        *[c for c in responses.columns if c != "body"],
-        F.coalesce(F.schema_of_variant("form").startswith("OBJECT"), F.lit(False)).alias("_object"),
-        *[kind.alias(f"_k_{n}") for n, kind in kinds.items()],
-        _text("raceName").alias("race_name"),
-        _text("prizeMoney").alias("_prize"),
-        _text("distance").alias("_distance"),
-        _text("raceClass").alias("race_class"),
-        _text("date").alias("_date"),
-        _text("condition").alias("race_condition"),
-        _text("numberOfRunners").alias("_field"),
-    )
+    keep = [c for c in responses.columns if c != "body"]
+    texts = compute_once(forms(responses), keep, {
+        "_object": F.coalesce(F.schema_of_variant("form").startswith("OBJECT"), F.lit(False)),
+        **{f"_k_{n}": kind for n, kind in kinds.items()},
+        "race_name": _text("raceName"),
+        "_prize": _text("prizeMoney"),
+        "_distance": _text("distance"),
+        "race_class": _text("raceClass"),
+        "_date": _text("date"),
+        "race_condition": _text("condition"),
+        "_field": _text("numberOfRunners"),
+    })
     given = lambda n, c: F.when(F.col(f"_k_{n}") == "STRING", F.col(c))
     prize, distance = given("prize", "_prize"), given("distance", "_distance")
     day, field = F.col("_date").try_cast("date"), F.col("_field").try_cast("int")
@@ -98,7 +109,7 @@ def parse_forms(responses: DataFrame) -> DataFrame:
         & F.coalesce(_scalar(F.col("_k_condition")), F.lit(True))
     )
     return texts.select(
-        *[c for c in responses.columns if c != "body"],
+        *keep,
         "race_name",
         F.left(F.coalesce("race_name", F.lit("")), F.lit(SHORT_NAME_LENGTH)).alias("short_race_name"),
         "race_class",
@@ -113,7 +124,10 @@ def parse_forms(responses: DataFrame) -> DataFrame:
 
 def race_rows(responses: DataFrame, tracks: DataFrame, now: Column, races_per_meeting: int = RACES_PER_MEETING) -> DataFrame:
     """Race rows of all readable responses, with ``meeting_date`` and ``arrival``; keys may repeat."""
-    parsed = parse_forms(answered_prefix(responses, races_per_meeting)).where("valid and track is not null")
+    wanted = asked(responses, races_per_meeting)
+    # Parsed before the join: a few columns travel, not the response bodies.
+    read = parse_forms(answered(wanted)).where("valid and track is not null")
+    parsed = before_failure(read, first_failures(wanted))
     code = track_code(F.col("track"), F.col("mapped_code"))
     day = F.col("meeting_date")
     return with_mapped_code(parsed, tracks).select(

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from furlong.operators.stage import compute_once
+
 
 def read_responses(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Responses landed as JSON lines with a text ``body`` (and status, date, ... as in ``schema``)."""
@@ -41,4 +43,5 @@ def meetings(responses: DataFrame) -> DataFrame:
 
 def forms(responses: DataFrame) -> DataFrame:
     """Form responses with the parsed object in ``form``; NULL where the body is no JSON."""
-    return responses.withColumn("form", F.try_parse_json("body")).drop("body")
+    keep = [c for c in responses.columns if c != "body"]
+    return compute_once(responses, keep, {"form": F.try_parse_json("body")})
