@@ -28,83 +28,84 @@ TRUE_WORDS = ("1", "on", "t", "true", "y", "yes")
 FALSE_WORDS = ("0", "off", "f", "false", "n", "no")
 
 RECORD = "record"
+OK = "gate_ok"
 ERRORS = "gate_errors"
 UNREADABLE = "record"
 OBJECT_LIST = "OBJECTS"
 
 
-def _number(kind: Column) -> Column:
-    return kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
-
-
-def _kind(value: Column, dtype: T.DataType) -> Column:
-    """JSON kind of a value. For a list only: absent, objects, or anything else."""
-    if not isinstance(dtype, T.ArrayType):
-        return F.schema_of_variant(value)
-    objects = F.forall(_get(value, "array<variant>"), lambda e: F.schema_of_variant(e).startswith("OBJECT"))
-    return F.when(value.isNull() | F.is_variant_null(value), "VOID").otherwise(
-        F.when(objects, F.lit(OBJECT_LIST)).otherwise("OTHER")
-    )
-
-
 def _get(value: Column, dtype: str) -> Column:
     return F.try_variant_get(value, "$", dtype)
 
 
-class _Field:
-    """One declared field: its variant value, its JSON kind, the accept rule and the typed value."""
+def is_object(value: Column) -> Column:
+    """Is the value a JSON object? Read as a struct, it is one or it is nothing; its fields are not visited."""
+    return _get(value, "struct<_any variant>").isNotNull()
 
-    def __init__(self, value: Column, kind: Column, dtype: T.DataType):
-        self.value, self.kind, self.dtype = value, kind, dtype
-        self.absent = kind.isNull() | (kind == "VOID")
-        self.text = F.when(kind == "STRING", _get(value, "string"))
 
-    def accepts(self) -> Column:
-        return F.coalesce(self.absent | self._fits(), F.lit(False))
+class _Field:
+    """One declared field. ``fits`` and ``typed`` read the columns that ``look_ups`` stored.
+
+    ``typed`` is right for values that fit; the others never leave the gate as columns.
+    """
 
-    def _fits(self) -> Column:
-        kind, d = self.kind, self.dtype
-        if isinstance(d, T.StringType):
-            return kind == "STRING"
+    def __init__(self, name: str, path: str, dtype: T.DataType):
+        self.name, self.path, self.dtype = name, path, dtype
+        self.is_text = isinstance(dtype, T.StringType)
+
+    def look_ups(self, record: str) -> dict[str, Column]:
+        value = F.try_variant_get(record, self.path, "variant")
+        if isinstance(self.dtype, T.ArrayType):
+            objects = F.forall(_get(value, "array<variant>"), is_object)
+            kind = F.when(value.isNull() | F.is_variant_null(value), "VOID").when(objects, OBJECT_LIST)
+            return {f"_k_{self.name}": F.coalesce(kind, F.lit("OTHER")), f"_v_{self.name}": value}
+        return {f"_k_{self.name}": F.schema_of_variant(value), f"_v_{self.name}": value}
+
+    @property
+    def _kind(self) -> Column:
+        # NULL: the field is missing. VOID: it is null.
+        return F.coalesce(F.col(f"_k_{self.name}"), F.lit("VOID"))
+
+    def fits(self) -> Column:
+        kind, d = self._kind, self.dtype
+        if self.is_text:
+            return kind.isin("VOID", "STRING")
+        if isinstance(d, T.ArrayType):
+            return kind.isin("VOID", OBJECT_LIST)
+        value = F.col(f"_v_{self.name}")
+        text, number = _get(value, "string"), _get(value, "double")
         if isinstance(d, T.DoubleType):
-            return _number(kind) | (kind == "BOOLEAN") | self.text.rlike(FLOAT_PATTERN)
-        if isinstance(d, (T.IntegerType, T.LongType)):
-            return (kind == "BOOLEAN") | self._integer().isNotNull()
+            return F.when(kind == "STRING", text.rlike(FLOAT_PATTERN)).otherwise(_scalar(kind))
         if isinstance(d, T.BooleanType):
-            return (kind == "BOOLEAN") | self._boolean().isNotNull()
-        if isinstance(d, T.ArrayType):
-            return kind == OBJECT_LIST
+            word = F.lower(text).isin(*TRUE_WORDS, *FALSE_WORDS)
+            flag = kind.isin("VOID", "BOOLEAN") | (_scalar(kind) & number.isin(0.0, 1.0))
+            return F.when(kind == "STRING", word).otherwise(flag)
+        if isinstance(d, (T.IntegerType, T.LongType)):
+            name = d.simpleString()
+            whole = (number == F.floor(number)) & _get(value, name).isNotNull()
+            return F.when(kind == "STRING", integral_from_text(text, name).isNotNull()).otherwise(
+                kind.isin("VOID", "BOOLEAN") | (_scalar(kind) & whole)
+            )
         raise TypeError(f"no gate rule for {d}")
 
-    def _integer(self) -> Column:
-        name = self.dtype.simpleString()
-        number = F.when(_number(self.kind), _get(self.value, "double"))
-        whole = F.when(
-            self.kind == "BIGINT", _get(self.value, name)
-        ).when(number == F.floor(number), number.try_cast(name))
-        return F.coalesce(whole, integral_from_text(self.text, name))
-
-    def _boolean(self) -> Column:
-        word = F.lower(self.text)
-        number = F.when(_number(self.kind), _get(self.value, "double"))
-        return F.when(word.isin(*TRUE_WORDS) | (number == 1), True).when(
-            word.isin(*FALSE_WORDS) | (number == 0), False
-        )
-
     def typed(self) -> Column:
-        kind, d = self.kind, self.dtype
-        if isinstance(d, T.StringType):
-            return self.text
-        if isinstance(d, T.ArrayType):
-            return _get(self.value, "array<variant>")
-        flag = F.when(kind == "BOOLEAN", _get(self.value, "boolean"))
-        if isinstance(d, T.BooleanType):
-            return F.coalesce(flag, self._boolean())
+        d, value = self.dtype, F.col(f"_v_{self.name}")
         name = d.simpleString()
-        if isinstance(d, T.DoubleType):
-            number = F.when(_number(kind), _get(self.value, name))
-            return F.coalesce(number, float_from_text(self.text), flag.cast(name))
-        return F.coalesce(self._integer(), flag.cast(name))
+        if self.is_text or isinstance(d, T.ArrayType):
+            return _get(value, name)
+        text = _get(value, "string")
+        if isinstance(d, T.BooleanType):
+            from_text = F.lower(text).isin(*TRUE_WORDS)
+        elif isinstance(d, T.DoubleType):
+            from_text = float_from_text(text)
+        else:
+            from_text = integral_from_text(text, name)
+        return F.when(self._kind == "STRING", from_text).otherwise(_get(value, name))
+
+
+def _scalar(kind: Column) -> Column:
+    """Null, number or boolean."""
+    return kind.isin("VOID", "BIGINT", "DOUBLE", "FLOAT", "BOOLEAN") | kind.startswith("DECIMAL")
 
 
 def gate(
@@ -114,39 +115,34 @@ def gate(
     record: str = RECORD,
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Typed columns of ``schema`` plus ``gate_errors``, the names of the fields that do not fit.
+    """Typed columns of ``schema``, ``gate_ok``, and ``gate_errors``, the names of the fields that do not fit.
 
-    An empty list means the record passes. Columns named in ``keep`` are carried along, the
-    record itself too, so that a reject can be stored with its cause. A record that is not
-    a JSON object has the single error ``record``.
+    Columns named in ``keep`` are carried along, the record itself too, so that a reject can
+    be stored with its cause. A record that is not a JSON object has the single error ``record``.
     """
-    # Values and kinds are looked up once; the filter on the result reads them.
-    looked_up: dict[str, Column] = {"_is_object": F.coalesce(F.schema_of_variant(record).startswith("OBJECT"), F.lit(False))}
-    for f in schema.fields:
-        value = F.try_variant_get(record, paths[f.name], "variant")
-        looked_up[f"_v_{f.name}"] = value
-        looked_up[f"_k_{f.name}"] = _kind(value, f.dataType)
-    values = compute_once(df, [*keep, record], looked_up)
-    fields = {f.name: _Field(F.col(f"_v_{f.name}"), F.col(f"_k_{f.name}"), f.dataType) for f in schema.fields}
-    wrong = F.array_compact(
-        F.array(*[F.when(~f.accepts(), F.lit(name)) for name, f in fields.items()])
-    )
+    fields = [_Field(f.name, paths[f.name], f.dataType) for f in schema.fields]
+    look_ups: dict[str, Column] = {"_is_object": is_object(F.col(record))}
+    for f in fields:
+        look_ups |= f.look_ups(record)
+    values = compute_once(df, [*keep, record], look_ups)
+
+    ok = F.col("_is_object")
+    for f in fields:
+        ok = ok & f.fits()
+    wrong = F.array_compact(F.array(*[F.when(~f.fits(), F.lit(f.name)) for f in fields]))
     errors = F.when(F.col("_is_object"), wrong).otherwise(F.array(F.lit(UNREADABLE)))
     return values.select(
-        *keep,
-        *[fields[f.name].typed().alias(f.name) for f in schema.fields],
-        errors.alias(ERRORS),
-        record,
+        *keep, *[f.typed().alias(f.name) for f in fields], ok.alias(OK), errors.alias(ERRORS), record
     )
 
 
 def passes() -> Column:
-    return F.size(ERRORS) == 0
+    return F.col(OK)
 
 
 def accepted(gated: DataFrame, record: str = RECORD) -> DataFrame:
     """Records that passed, without the gate's own columns."""
-    return gated.where(passes()).drop(ERRORS, record)
+    return gated.where(passes()).drop(OK, ERRORS, record)
 
 
 def rejected(gated: DataFrame, keep: tuple[str, ...] = (), record: str = RECORD) -> DataFrame:

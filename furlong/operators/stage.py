@@ -13,5 +13,6 @@ def compute_once(df: DataFrame, keep: list[str] | tuple[str, ...], columns: dict
     expressions in it, so a column of JSON look-ups that feeds a filter and a result would run
     several times per row. A generator of one row is not crossed by filters on its output.
     """
-    row = F.struct(*[c.alias(name) for name, c in columns.items()])
-    return df.select(*keep, F.inline(F.array(row)))
+    # Computed by a projection (compiled code, shared sub-expressions), then passed through.
+    computed = df.select(*keep, *[c.alias(name) for name, c in columns.items()])
+    return computed.select(*keep, F.inline(F.array(F.struct(*columns))))

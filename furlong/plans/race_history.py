@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from furlong.functions.gate import is_object
 from furlong.functions.keys import meeting_id, race_id, slug_or_track, track_code
 from furlong.functions.parsing import distance_meters, prize_total, unreadable
 from furlong.functions.tracks import with_mapped_code
@@ -83,7 +84,7 @@ def parse_forms(responses: DataFrame) -> DataFrame:
     }
     keep = [c for c in responses.columns if c != "body"]
     texts = compute_once(forms(responses), keep, {
-        "_object": F.coalesce(F.schema_of_variant("form").startswith("OBJECT"), F.lit(False)),
+        "_object": is_object(F.col("form")),
         **{f"_k_{n}": kind for n, kind in kinds.items()},
         "race_name": _text("raceName"),
         "_prize": _text("prizeMoney"),
