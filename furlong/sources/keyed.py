@@ -26,11 +26,15 @@ def new_rows(
     """First row per key of the batch, without keys the target has.
 
     With ``partition``, a column the key determines (the day inside a race id, say) and by
-    which the target is stored, only the target partitions that the batch touches are read. The
-    list of a batch's partitions is broadcast; being days, it is bounded by the calendar.
+    which the target is stored (never NULL), only the target partitions that the batch touches
+    are read. The list of a batch's partitions is broadcast; being days, it is bounded by the
+    calendar.
     """
     if partition:
-        touched = batch.select(partition).distinct()
+        # Always true, but a comparison: the planner prunes partitions at run time only by a
+        # side that has one.
+        some_value = F.length(F.col(partition).cast("string")) >= 0
+        touched = batch.where(some_value).select(partition).distinct()
         target = target.join(F.broadcast(touched), partition, "left_semi")
     return not_in(first_per_key(batch, [key], order), target, [key])
 
