@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 # A group up to this size is sorted in one task. Larger groups are split.
 HOT_ROWS = 1_000_000
-# Ids per block: a block of unique ids has at most this many rows.
+# Ids per block: a block of unique ids has at most this many rows (twice that around zero).
 BLOCK = 1 << 20
 
 
@@ -41,7 +41,7 @@ def number_rows(
 
 
 def _number_in_pieces(df: DataFrame, key: str, day: str, row_id: str, output: str, block: int) -> DataFrame:
-    pieces = df.withColumn("_block", F.floor(F.col(row_id) / block).cast("bigint"))
+    pieces = df.withColumn("_block", _div(row_id, block))
     local = pieces.withColumn(
         "_local", F.row_number().over(W.partitionBy(key, day, "_block").orderBy(row_id))
     )
@@ -73,6 +73,11 @@ def _number_in_pieces(df: DataFrame, key: str, day: str, row_id: str, output: st
     return shifted.select(*df.columns, (F.col("_local") + F.col("_offset")).cast("bigint").alias(output))
 
 
+def _div(column: str, size: int) -> Column:
+    """Integer quotient: exact for all longs, and never falling as the column grows."""
+    return F.expr(f"CAST(`{column}` AS BIGINT) DIV {size}L")
+
+
 def _before(n: str, window: W) -> Column:
     """Sum of ``n`` over the rows before this one."""
     running = F.sum(n).over(window.rowsBetween(W.unboundedPreceding, W.currentRow))
@@ -86,10 +91,10 @@ def number_by_position(df: DataFrame, position: str, output: str, block: int = B
     numbered on its own; only the block counts meet in one place, and those are (range of
     positions) / block rows.
     """
-    b = F.floor(F.col(position) / block).cast("bigint")
+    b = _div(position, block)
     counts = df.groupBy(b.alias("_c_block")).agg(F.count(F.lit(1)).alias("_n"))
     # Two levels keep the single-partition window at (range / block²) rows.
-    group = F.floor(F.col("_c_block") / block).cast("bigint")
+    group = _div("_c_block", block)
     groups = counts.groupBy(group.alias("_g")).agg(F.sum("_n").alias("_n"))
     before_group = groups.select(
         F.col("_g").alias("_gg"), _before("_n", W.orderBy("_g")).alias("_before_group")

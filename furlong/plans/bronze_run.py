@@ -6,6 +6,7 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 from zoneinfo import ZoneInfo
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,12 +96,20 @@ def _write(gated, rows_to_keep, quarantine, root, day, now, records_per_file) ->
     seen = gated.observe(counted, F.count_if(~passes()).alias("rejects"))
     write_ndjson(stamp(rows_to_keep(seen), day, run_time), root, records_per_file)
     quarantined = 0
-    if counted.get["rejects"]:
+    if _count(counted) != 0:
         write_ndjson(stamp(rejected(gated), day, run_time), quarantine)
         quarantined = count_lines(spark, _run_folder(quarantine, day, run_time))
     written = count_lines(spark, _run_folder(root, day, run_time))
     return RunResult(skipped=False, success=written, failed=quarantined)
 
 
+def _count(counted: Observation) -> int | None:
+    """The observed number; None where the planner found the input empty and measured nothing."""
+    try:
+        return counted.get["rejects"]
+    except Py4JJavaError:
+        return None
+
+
 def _run_folder(root: str, day: str, run_time: str) -> str:
     return f"{root}/extracted_date={day}/run_time={run_time}"

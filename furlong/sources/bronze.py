@@ -41,7 +41,7 @@ def read_ndjson(spark: SparkSession, root: str, schema: T.StructType, day: str |
 
 
 def has_files(spark: SparkSession, root: str, day: str) -> bool:
-    """Is there any file for the day? An empty file counts. File contents are not read."""
+    """Is there any file for the day? An empty file counts. The folder is listed, no file is read."""
     try:
         files = (
             spark.read.format("binaryFile").option("recursiveFileLookup", "true")
@@ -51,7 +51,7 @@ def has_files(spark: SparkSession, root: str, day: str) -> bool:
         if e.getCondition() == "PATH_NOT_FOUND":
             return False
         raise
-    return not files.select("path").isEmpty()
+    return len(files.inputFiles()) > 0
 
 
 def count_lines(spark: SparkSession, folder: str) -> int:

@@ -45,11 +45,6 @@ def test_customers_read_orders_only(spark, sf_dir):
     assert "lineitem" not in text and "Window" not in text
 
 
-def test_orders_mart_has_no_item_to_order_join(spark, sf_dir):
-    assert "o_orderdate" not in plan(spark, sf_dir, "order_items_mart").split("lineitem")[-1]
-    assert plan(spark, sf_dir, "orders_mart").count("CartesianProduct") == 0
-
-
 @pytest.mark.parametrize("name", ["race_history", "w3_first_writer", "w4_latest_book", "t1_first_to_start"])
 def test_group_limit_below_the_shuffle(spark, sf_dir, name):
     assert "WindowGroupLimit" in plan(spark, sf_dir, name)
