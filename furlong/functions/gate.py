@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from furlong.functions.parsing import FLOAT_PATTERN, float_from_text, integral_from_text
+from furlong.functions.parsing import BLANKS, FLOAT_PATTERN, INTEGRAL_PATTERN, ZERO_FRACTION
 from furlong.operators.stage import compute_once
 
 # Texts that count as booleans, in any letter case.
@@ -34,78 +34,79 @@ UNREADABLE = "record"
 OBJECT_LIST = "OBJECTS"
 
 
-def _get(value: Column, dtype: str) -> Column:
-    return F.try_variant_get(value, "$", dtype)
+_SCALAR_KINDS = "('VOID', 'BIGINT', 'DOUBLE', 'FLOAT', 'BOOLEAN')"
 
 
-def is_object(value: Column) -> Column:
+def _quoted(words: tuple[str, ...]) -> str:
+    return "(" + ", ".join(f"'{w}'" for w in words) + ")"
+
+
+def is_object(value: str) -> str:
     """Is the value a JSON object? Read as a struct, it is one or it is nothing; its fields are not visited."""
-    return _get(value, "struct<_any variant>").isNotNull()
+    return f"try_variant_get({value}, '$', 'struct<_any variant>') IS NOT NULL"
 
 
 class _Field:
-    """One declared field. ``fits`` and ``typed`` read the columns that ``look_ups`` stored.
+    """One declared field, as SQL expressions.
 
-    ``typed`` is right for values that fit; the others never leave the gate as columns.
+    ``fits`` and ``typed`` read the columns that ``look_ups`` stored: the JSON kind ``_k_`` and
+    the value ``_v_``. ``typed`` is right for values that fit; the others never leave the gate.
     """
 
     def __init__(self, name: str, path: str, dtype: T.DataType):
         self.name, self.path, self.dtype = name, path, dtype
-        self.is_text = isinstance(dtype, T.StringType)
-
-    def look_ups(self, record: str) -> dict[str, Column]:
-        value = F.try_variant_get(record, self.path, "variant")
+        # A missing field has no kind, a null one is VOID; both pass.
+        self.kind = f"coalesce(`_k_{name}`, 'VOID')"
+        self.value = f"`_v_{name}`"
+        self.text = f"try_variant_get({self.value}, '$', 'string')"
+        self.number = f"try_variant_get({self.value}, '$', 'double')"
+        self.scalar = f"({self.kind} IN {_SCALAR_KINDS} OR startswith({self.kind}, 'DECIMAL'))"
+
+    def look_ups(self, record: str) -> dict[str, str]:
+        value = f"try_variant_get({record}, '{self.path}', 'variant')"
+        kind = f"schema_of_variant({value})"
         if isinstance(self.dtype, T.ArrayType):
-            objects = F.forall(_get(value, "array<variant>"), is_object)
-            kind = F.when(value.isNull() | F.is_variant_null(value), "VOID").when(objects, OBJECT_LIST)
-            return {f"_k_{self.name}": F.coalesce(kind, F.lit("OTHER")), f"_v_{self.name}": value}
-        return {f"_k_{self.name}": F.schema_of_variant(value), f"_v_{self.name}": value}
-
-    @property
-    def _kind(self) -> Column:
-        # NULL: the field is missing. VOID: it is null.
-        return F.coalesce(F.col(f"_k_{self.name}"), F.lit("VOID"))
-
-    def fits(self) -> Column:
-        kind, d = self._kind, self.dtype
-        if self.is_text:
-            return kind.isin("VOID", "STRING")
+            objects = f"forall(try_variant_get({value}, '$', 'array<variant>'), e -> {is_object('e')})"
+            kind = (f"CASE WHEN {value} IS NULL OR is_variant_null({value}) THEN 'VOID' "
+                    f"WHEN {objects} THEN '{OBJECT_LIST}' ELSE 'OTHER' END")
+        return {f"_k_{self.name}": kind, f"_v_{self.name}": value}
+
+    def _converted(self) -> str:
+        """The value read as the declared number type."""
+        return f"try_variant_get({self.value}, '$', '{self.dtype.simpleString()}')"
+
+    def _from_text(self) -> str:
+        """Text of a number, without blanks, underscores and a fraction of zeros, as the declared type."""
+        text = self.text
+        if not isinstance(self.dtype, T.DoubleType):
+            text = f"regexp_replace({text}, r'{ZERO_FRACTION}', '')"
+        return f"try_cast(regexp_replace({text}, r'{BLANKS}', '') AS {self.dtype.simpleString()})"
+
+    def fits(self) -> str:
+        kind, d = self.kind, self.dtype
+        if isinstance(d, T.StringType):
+            return f"{kind} IN ('VOID', 'STRING')"
         if isinstance(d, T.ArrayType):
-            return kind.isin("VOID", OBJECT_LIST)
-        value = F.col(f"_v_{self.name}")
-        text, number = _get(value, "string"), _get(value, "double")
+            return f"{kind} IN ('VOID', '{OBJECT_LIST}')"
         if isinstance(d, T.DoubleType):
-            return F.when(kind == "STRING", text.rlike(FLOAT_PATTERN)).otherwise(_scalar(kind))
-        if isinstance(d, T.BooleanType):
-            word = F.lower(text).isin(*TRUE_WORDS, *FALSE_WORDS)
-            flag = kind.isin("VOID", "BOOLEAN") | (_scalar(kind) & number.isin(0.0, 1.0))
-            return F.when(kind == "STRING", word).otherwise(flag)
-        if isinstance(d, (T.IntegerType, T.LongType)):
-            name = d.simpleString()
-            whole = (number == F.floor(number)) & _get(value, name).isNotNull()
-            return F.when(kind == "STRING", integral_from_text(text, name).isNotNull()).otherwise(
-                kind.isin("VOID", "BOOLEAN") | (_scalar(kind) & whole)
-            )
-        raise TypeError(f"no gate rule for {d}")
-
-    def typed(self) -> Column:
-        d, value = self.dtype, F.col(f"_v_{self.name}")
-        name = d.simpleString()
-        if self.is_text or isinstance(d, T.ArrayType):
-            return _get(value, name)
-        text = _get(value, "string")
-        if isinstance(d, T.BooleanType):
-            from_text = F.lower(text).isin(*TRUE_WORDS)
-        elif isinstance(d, T.DoubleType):
-            from_text = float_from_text(text)
+            text, other = f"{self.text} RLIKE r'{FLOAT_PATTERN}'", self.scalar
+        elif isinstance(d, T.BooleanType):
+            text = f"lower({self.text}) IN {_quoted(TRUE_WORDS + FALSE_WORDS)}"
+            other = f"{kind} IN ('VOID', 'BOOLEAN') OR ({self.scalar} AND {self.number} IN (0, 1))"
+        elif isinstance(d, (T.IntegerType, T.LongType)):
+            text = f"{self.text} RLIKE r'{INTEGRAL_PATTERN}' AND {self._from_text()} IS NOT NULL"
+            whole = f"{self.number} = floor({self.number}) AND {self._converted()} IS NOT NULL"
+            other = f"{kind} IN ('VOID', 'BOOLEAN') OR ({self.scalar} AND {whole})"
         else:
-            from_text = integral_from_text(text, name)
-        return F.when(self._kind == "STRING", from_text).otherwise(_get(value, name))
+            raise TypeError(f"no gate rule for {d}")
+        return f"coalesce(CASE WHEN {kind} = 'STRING' THEN {text} ELSE {other} END, false)"
 
-
-def _scalar(kind: Column) -> Column:
-    """Null, number or boolean."""
-    return kind.isin("VOID", "BIGINT", "DOUBLE", "FLOAT", "BOOLEAN") | kind.startswith("DECIMAL")
+    def typed(self) -> str:
+        d = self.dtype
+        if isinstance(d, (T.StringType, T.ArrayType)):
+            return self._converted()
+        text = f"lower({self.text}) IN {_quoted(TRUE_WORDS)}" if isinstance(d, T.BooleanType) else self._from_text()
+        return f"CASE WHEN {self.kind} = 'STRING' THEN {text} ELSE {self._converted()} END"
 
 
 def gate(
@@ -121,18 +122,17 @@ def gate(
     be stored with its cause. A record that is not a JSON object has the single error ``record``.
     """
     fields = [_Field(f.name, paths[f.name], f.dataType) for f in schema.fields]
-    look_ups: dict[str, Column] = {"_is_object": is_object(F.col(record))}
+    look_ups = {"_is_object": is_object(record)}
     for f in fields:
         look_ups |= f.look_ups(record)
     values = compute_once(df, [*keep, record], look_ups)
 
-    ok = F.col("_is_object")
-    for f in fields:
-        ok = ok & f.fits()
-    wrong = F.array_compact(F.array(*[F.when(~f.fits(), F.lit(f.name)) for f in fields]))
-    errors = F.when(F.col("_is_object"), wrong).otherwise(F.array(F.lit(UNREADABLE)))
-    return values.select(
-        *keep, *[f.typed().alias(f.name) for f in fields], ok.alias(OK), errors.alias(ERRORS), record
+    ok = " AND ".join(["_is_object", *[f.fits() for f in fields]])
+    wrong = ", ".join(f"CASE WHEN NOT {f.fits()} THEN '{f.name}' END" for f in fields)
+    errors = f"CASE WHEN _is_object THEN array_compact(array({wrong})) ELSE array('{UNREADABLE}') END"
+    return values.selectExpr(
+        *[f"`{c}`" for c in keep], *[f"{f.typed()} AS `{f.name}`" for f in fields],
+        f"{ok} AS {OK}", f"{errors} AS {ERRORS}", f"`{record}`",
     )
 
 

@@ -19,25 +19,21 @@ INT_PATTERN = rf"^\s*[+-]?{_DIGITS}\s*$"
 # Whole number, with or without a fraction of zeros.
 INTEGRAL_PATTERN = rf"^\s*[+-]?{_DIGITS}(\.0*)?\s*$"
 
-_NO_UNDERSCORE_OR_BLANK = r"[_\s]"
+ZERO_FRACTION = r"\.0*\s*$"
+# What may stand in a number's text without being part of it.
+BLANKS = r"[_\s]"
 
 
 def float_from_text(text: Column) -> Column:
-    bare = F.regexp_replace(text, _NO_UNDERSCORE_OR_BLANK, "")
+    bare = F.regexp_replace(text, BLANKS, "")
     return F.when(text.rlike(FLOAT_PATTERN), bare.try_cast("double"))
 
 
 def int_from_text(text: Column, dtype: str = "int") -> Column:
-    bare = F.regexp_replace(text, _NO_UNDERSCORE_OR_BLANK, "")
+    bare = F.regexp_replace(text, BLANKS, "")
     return F.when(text.rlike(INT_PATTERN), bare.try_cast(dtype))
 
 
-def integral_from_text(text: Column, dtype: str = "bigint") -> Column:
-    """As ``int_from_text``, and ``2.0`` counts as 2."""
-    bare = F.regexp_replace(F.regexp_replace(text, r"\.0*\s*$", ""), _NO_UNDERSCORE_OR_BLANK, "")
-    return F.when(text.rlike(INTEGRAL_PATTERN), bare.try_cast(dtype))
-
-
 def prize_total(text: Column) -> Column:
     """``$1,250,000`` -> 1250000.0. Empty or missing gives NULL."""
     return float_from_text(F.replace(F.replace(text, F.lit("$"), F.lit("")), F.lit(","), F.lit("")))

@@ -20,57 +20,45 @@ def number_rows(
 
     ``row_id`` is a unique integer. Keys with at most ``hot_rows`` rows (nearly all of them)
     take the plain window: one shuffle. A larger group is cut into (day, id block) pieces;
-    each piece is numbered by itself and shifted by the number of rows in earlier pieces.
-    No task sorts more than ``max(hot_rows, block)`` rows of a group.
+    each piece is numbered by itself and shifted by the number of rows in earlier pieces: rows
+    on earlier days (a window with one row per day) and rows of the day in earlier blocks (one
+    row per block). No task sorts more than ``max(hot_rows, 2 * block)`` rows of a group.
 
     What is broadcast is the list of hot keys: fewer than rows / hot_rows values. Without hot
     keys that list is empty and the adaptive planner drops the second branch before it reads
     anything. ``df`` is read once more (key column only) to count, so pass a cheap one.
     """
-    hot = (
-        df.groupBy(F.col(key).alias("_hot_key")).agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > hot_rows)
-        .select("_hot_key")
-    )
-    is_hot = F.col(key).eqNullSafe(F.col("_hot_key"))
-    plain = df.join(F.broadcast(hot), is_hot, "left_anti")
-    large = df.join(F.broadcast(hot), is_hot, "left_semi")
-
-    numbered = plain.withColumn(output, F.row_number().over(W.partitionBy(key).orderBy(day, row_id)).cast("bigint"))
-    return numbered.unionByName(_number_in_pieces(large, key, day, row_id, output, block))
-
-
-def _number_in_pieces(df: DataFrame, key: str, day: str, row_id: str, output: str, block: int) -> DataFrame:
-    pieces = df.withColumn("_block", _div(row_id, block))
-    local = pieces.withColumn(
-        "_local", F.row_number().over(W.partitionBy(key, day, "_block").orderBy(row_id))
-    )
-    counts = pieces.groupBy(
-        F.col(key).alias("_key"), F.col(day).alias("_day"), F.col("_block").alias("_in_block")
-    ).agg(F.count(F.lit(1)).alias("_n"))
-    # Rows on earlier days, then rows of the day in earlier blocks. The first window has one
-    # row per day, the second one row per block, so both stay short.
-    before_day = (
-        counts.groupBy("_key", "_day").agg(F.sum("_n").alias("_n"))
-        .select(
-            F.col("_key").alias("_d_key"), F.col("_day").alias("_d_day"),
-            _before("_n", W.partitionBy("_key").orderBy("_day")).alias("_before_day"),
+    columns = ", ".join(f"r.`{c}`" for c in df.columns)
+    return df.sparkSession.sql(
+        f"""
+        WITH hot AS (
+            SELECT `{key}` AS hot_key FROM {{rows}} GROUP BY `{key}` HAVING count(*) > {hot_rows}
+        ), plain AS (
+            SELECT /*+ BROADCAST(hot) */ * FROM {{rows}} LEFT ANTI JOIN hot ON `{key}` <=> hot_key
+        ), large AS (
+            SELECT /*+ BROADCAST(hot) */ *, CAST(`{row_id}` AS BIGINT) DIV {block}L AS _block
+            FROM {{rows}} LEFT SEMI JOIN hot ON `{key}` <=> hot_key
+        ), piece AS (
+            SELECT `{key}` AS k, `{day}` AS d, _block AS b, count(*) AS n FROM large GROUP BY ALL
+        ), in_day AS (
+            SELECT k, d, b, sum(n) OVER (PARTITION BY k, d ORDER BY b) - n AS before FROM piece
+        ), over_days AS (
+            SELECT k, d, sum(n) OVER (PARTITION BY k ORDER BY d) - n AS before
+            FROM (SELECT k, d, sum(n) AS n FROM piece GROUP BY k, d)
+        ), shift AS (
+            SELECT i.k, i.d, i.b, i.before + o.before AS rows_before
+            FROM in_day i JOIN over_days o ON i.k <=> o.k AND i.d <=> o.d
+        ), local AS (
+            SELECT *, row_number() OVER (PARTITION BY `{key}`, `{day}`, _block ORDER BY `{row_id}`) AS _n FROM large
         )
+        SELECT {columns}, CAST(row_number() OVER (PARTITION BY `{key}` ORDER BY `{day}`, `{row_id}`) AS BIGINT) AS `{output}`
+        FROM plain r
+        UNION ALL
+        SELECT {columns}, CAST(r._n + s.rows_before AS BIGINT)
+        FROM local r JOIN shift s ON r.`{key}` <=> s.k AND r.`{day}` <=> s.d AND r._block <=> s.b
+        """,
+        rows=df,
     )
-    before_block = counts.withColumn(
-        "_before_block", _before("_n", W.partitionBy("_key", "_day").orderBy("_in_block"))
-    )
-    offsets = before_block.join(
-        before_day, F.col("_key").eqNullSafe(F.col("_d_key")) & F.col("_day").eqNullSafe(F.col("_d_day"))
-    ).select("_key", "_day", "_in_block", (F.col("_before_day") + F.col("_before_block")).alias("_offset"))
-
-    shifted = local.join(
-        offsets,
-        F.col(key).eqNullSafe(F.col("_key"))
-        & F.col(day).eqNullSafe(F.col("_day"))
-        & F.col("_block").eqNullSafe(F.col("_in_block")),
-    )
-    return shifted.select(*df.columns, (F.col("_local") + F.col("_offset")).cast("bigint").alias(output))
 
 
 def _div(column: str, size: int) -> Column:

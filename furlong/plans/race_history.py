@@ -84,7 +84,7 @@ def parse_forms(responses: DataFrame) -> DataFrame:
     }
     keep = [c for c in responses.columns if c != "body"]
     texts = compute_once(forms(responses), keep, {
-        "_object": is_object(F.col("form")),
+        "_object": is_object("form"),
         **{f"_k_{n}": kind for n, kind in kinds.items()},
         "race_name": _text("raceName"),
         "_prize": _text("prizeMoney"),

@@ -12,6 +12,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 from furlong.functions.tracks import TRACK_CODES
+from furlong.operators.stage import spread
 
 DRIVER_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -202,9 +203,15 @@ def needed(names: list[str] | tuple[str, ...]) -> list[str]:
     return order
 
 
+# Proxies that stand for landed files: JSON text, of which there are many files in practice.
+LANDED = ("form_raw", "meetings_raw", "catalogue_raw", "snapshots")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table or a proxy as a DataFrame."""
     if name in DRIVER_TABLES:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
     inputs = {parent: table(spark, sf_dir, parent) for parent in set(_NAME.findall(PROXIES[name]))}
+    if name in LANDED:
+        inputs = {parent: spread(df) if parent in DRIVER_TABLES else df for parent, df in inputs.items()}
     return spark.sql(PROXIES[name], **inputs)
