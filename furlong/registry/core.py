@@ -46,6 +46,8 @@ class Query:
     sql: str | None
 
     def dataframe(self, spark: SparkSession, sf_dir: str) -> DataFrame:
+        # Timestamps are UTC instants on both sides of the comparison.
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
         df = self.run(Inputs(spark, sf_dir))
         return df.select(*[_spark_cast(F.col(c), t).alias(c) for c, t in self.columns.items()])
 

@@ -142,7 +142,7 @@ add("s7_book_records", f"{RUN_SPEC} arrival:l market_id",
 def written_catalogue(t: Inputs, records_per_file: int | None = None) -> str:
     """Root folder of the catalogue, written as Bronze."""
     root = f"{t.scratch()}/catalogue"
-    bronze.write_ndjson(catalogue(t).drop("arrival"), root, records_per_file)
+    bronze.write_ndjson(catalogue(t).drop("arrival"), root, records_per_file, many_days=True)
     return root
 
 

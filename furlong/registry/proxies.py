@@ -203,8 +203,9 @@ def needed(names: list[str] | tuple[str, ...]) -> list[str]:
     return order
 
 
-# Proxies that stand for landed files: JSON text, of which there are many files in practice.
-LANDED = ("form_raw", "meetings_raw", "catalogue_raw", "snapshots")
+# Proxies with many or costly rows per input row. The driver's files have one row group each,
+# which is one task; see ``spread``. Inputs with splits enough are read as they are.
+SPREAD = ("form_raw", "meetings_raw", "catalogue_raw", "snapshots", "silver_runners")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -212,6 +213,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name in DRIVER_TABLES:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
     inputs = {parent: table(spark, sf_dir, parent) for parent in set(_NAME.findall(PROXIES[name]))}
-    if name in LANDED:
+    if name in SPREAD:
         inputs = {parent: spread(df) if parent in DRIVER_TABLES else df for parent, df in inputs.items()}
     return spark.sql(PROXIES[name], **inputs)

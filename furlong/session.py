@@ -11,7 +11,10 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Ask-for files of this size per scan task.
+    # Streaming state on disk with incremental snapshots, not on the executors' heaps.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Input per scan task.
     "spark.sql.files.maxPartitionBytes": "128m",
 }
 

@@ -15,12 +15,19 @@ CATALOGUE_RECORDS_PER_FILE = 50
 BOOK_RECORDS_PER_FILE = 8
 
 
-def write_ndjson(df: DataFrame, root: str, records_per_file: int | None = None) -> None:
+def write_ndjson(
+    df: DataFrame, root: str, records_per_file: int | None = None, many_days: bool = False
+) -> None:
     """Add rows to their date and run folders. NULL fields are written, not left out.
 
-    Rows stay where they are: no shuffle. Each run writes its own ``run_time`` folder, and a
-    forced second run adds another one beside it; nothing is replaced.
+    Each run writes its own ``run_time`` folder, and a forced second run adds another one beside
+    it; nothing is replaced. A run of one day writes its rows where they are, without a shuffle.
+    For a backfill of ``many_days`` each task would write a small file per day, so rows are
+    brought together by folder first; the adaptive planner splits large folders and merges small
+    ones, so that a day that holds most rows does not end up in one task.
     """
+    if many_days:
+        df = df.hint("rebalance", *PARTITION_COLUMNS)
     writer = df.write.mode("append").partitionBy(*PARTITION_COLUMNS).option("ignoreNullFields", "false")
     if records_per_file:
         writer = writer.option("maxRecordsPerFile", records_per_file)

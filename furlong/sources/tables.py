@@ -16,10 +16,14 @@ def raw_schema(target_schema: str) -> str:
 def load_seed(
     spark: SparkSession, path: str, name: str, target_schema: str, location: str | None = None
 ) -> DataFrame:
-    """Load a CSV seed (with header) into ``<target_schema>_raw.<name>``; types are declared, not guessed."""
+    """Load a CSV seed (with header) into ``<target_schema>_raw.<name>``; types are declared, not guessed.
+
+    ``location`` is the folder of the raw schema; without it the warehouse folder is used.
+    """
     df = spark.read.schema(SHOP_RAW[name]).option("header", True).csv(path)
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {raw_schema(target_schema)}")
-    return as_table(df, f"{raw_schema(target_schema)}.{name}", location)
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {raw_schema(target_schema)}{where}")
+    return as_table(df, f"{raw_schema(target_schema)}.{name}", f"{location}/{name}" if location else None)
 
 
 def source(spark: SparkSession, target_schema: str, name: str) -> DataFrame:

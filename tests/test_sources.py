@@ -36,6 +36,17 @@ def test_files_are_capped_and_nulls_written(spark, tmp_path):
     assert set(json.loads(lines[0][0])) == set(CATALOGUE.names)
 
 
+def test_backfill_of_many_days_writes_few_files(spark, tmp_path):
+    rows_of_days = catalogue_rows(spark, 400).repartition(8).withColumns({
+        "extracted_date": F.expr("date_add(DATE'2026-05-01', CAST(substr(market_id, 3) AS INT) % 10)"), "run_time": F.lit("07-30")})
+    for many_days in (False, True):
+        root = str(tmp_path / f"c{many_days}")
+        bronze.write_ndjson(rows_of_days, root, many_days=many_days)
+        files_written = len(glob(f"{root}/*/*/*.json"))
+        assert (files_written <= 20) is many_days
+        assert bronze.read_ndjson(spark, root, CATALOGUE).select("market_id").distinct().count() == 400
+
+
 def test_day_scan_reads_one_day_and_all_its_runs(spark, tmp_path):
     root = str(tmp_path / "c")
     for day, run in ((DAY, "07-30"), (DAY, "11-00"), ("2026-05-02", "07-30")):
