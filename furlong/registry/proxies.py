@@ -205,7 +205,7 @@ def needed(names: list[str] | tuple[str, ...]) -> list[str]:
 
 # Proxies with many or costly rows per input row. The driver's files have one row group each,
 # which is one task; see ``spread``. Inputs with splits enough are read as they are.
-SPREAD = ("form_raw", "meetings_raw", "catalogue_raw", "snapshots", "silver_runners")
+SPREAD = ("form_raw", "meetings_raw", "catalogue_raw", "snapshots", "raw_items", "raw_supplies", "silver_runners")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
