@@ -1,10 +1,11 @@
 """Toxicity by a string-kernel support vector machine with Nystroem landmarks.
 
 The kernel counts common subsequences of p letters, each weighted by DECAY to the power of the stretches it spans, so an
-insult with inserted or missing characters still matches. Landmarks are letter runs that mark toxic training texts. A
-word's feature for a landmark l is K(word, l) / K(l, l), with p one less than l's length; a sentence takes the highest
+insult with inserted or missing characters still matches. Words are read with a mark at either end. Landmarks are runs
+of letters at a word's beginning or end, its mark included, that mark toxic training texts. A word's feature for a landmark l is K(word, l) / K(l, l), with p one less than l's length; a sentence takes the highest
 of its words, Nystroem whitening turns the features into coordinates of the kernel's space, and a linear machine with
-squared hinge loss is fitted there. A document's score is that of its worst sentence, as a calibrated probability.
+squared hinge loss is fitted there. A document's score is a calibrated probability from the margins of its two worst
+sentences and the number of sentences with any match.
 
 K is zero unless the longest common subsequence has p letters. That is tested with bit-parallel arithmetic for all words
 at once, so the kernel itself runs on few pairs only.
@@ -24,8 +25,9 @@ from pyspark.sql import functions as F
 
 from furlong.llm.common import held_out, sampled
 
-DECAY, MIN_RUN, MAX_RUN, LANDMARKS, WIDTH = 0.5, 5, 9, 64, 24
-TRAIN_ROWS = 2500  # bound of the sample of labelled documents of each class
+DECAY, MIN_RUN, MAX_RUN, LANDMARKS, WIDTH = 0.35, 5, 9, 64, 24
+HEAD, TAIL = "\x02", "\x03"  # the marks
+TRAIN_ROWS = 1500  # bound of the sample of labelled documents of each class
 MIN_DOCS, THRESHOLD, CACHED = 4, 0.3, 1 << 18
 
 _SENTENCE = re.compile(r"[.!?\n]+(?:\s|$)")
@@ -75,6 +77,7 @@ class Landmarks:
         """Features of each word; none where all are zero. Long words count by overlapping parts."""
         parts, owner = [], []
         for i, w in enumerate(words):
+            w = f"{HEAD}{w}{TAIL}"
             for a in range(0, max(1, len(w) - WIDTH // 2), WIDTH // 2):
                 parts.append(w[a : a + WIDTH])
                 owner.append(i)
@@ -131,11 +134,22 @@ class Machine:
     landmarks: Landmarks
     weights: np.ndarray  # per landmark feature
     bias: float
-    slope: float
-    offset: float
+    calibration: np.ndarray  # of the summary
 
-    def probability(self, features: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * (features @ self.weights + self.bias) + self.offset, -500, 500)))
+    def margins(self, features: np.ndarray) -> np.ndarray:
+        return features @ self.weights + self.bias
+
+    def summary(self, margins: np.ndarray) -> np.ndarray:
+        """What a document is judged by: its two highest margins and how many sentences matched."""
+        top = np.sort(np.append(margins, [self.bias, self.bias]))
+        return np.array([top[-1], top[-2], np.log1p(len(margins)), 1.0])
+
+    def probability(self, margins: np.ndarray) -> float:
+        return float(1 / (1 + np.exp(-np.clip(self.summary(margins) @ self.calibration, -500, 500))))
+
+
+def _constant(marks: Landmarks, logit: float) -> Machine:
+    return Machine(marks, np.zeros(len(marks.texts)), 0.0, np.array([0.0, 0.0, 0.0, logit]))
 
 
 def _choose(counted: DataFrame, n: np.ndarray) -> list[str]:
@@ -143,7 +157,7 @@ def _choose(counted: DataFrame, n: np.ndarray) -> list[str]:
     p = (F.col("n1") + F.col("n0")) / float(n.sum())
     z = (F.col("n1") / float(n[1]) - F.col("n0") / float(n[0])) / F.sqrt(p * (1 - F.least(p, F.lit(0.999))) * float(1 / n[1] + 1 / n[0]))
     rows = counted.where((F.col("n1") >= MIN_DOCS) & (F.col("n1") / float(n[1]) > 20 * F.col("n0") / float(n[0])))
-    rows = rows.withColumn("z", z * (1 + F.length("run") / 20)).orderBy(F.desc("z"), "run").limit(4000).collect()
+    rows = rows.withColumn("z", z * (1 + F.length("run") / 100)).orderBy(F.desc("z"), "run").limit(4000).collect()
     chosen: list[str] = []
     for run in (r["run"] for r in rows):
         if len(chosen) == LANDMARKS:
@@ -168,7 +182,8 @@ def _runs(sample: DataFrame) -> DataFrame:
         seen: Counter = Counter()
         for batch in batches:
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                runs = {w[a:b] for w in set(re.findall(r"[^\W\d_]{5,}", (text or "").lower())) for a in range(len(w) - MIN_RUN + 1) for b in range(a + MIN_RUN, min(len(w), a + MAX_RUN) + 1)}
+                words = set(re.findall(r"[^\W\d_]{4,}", (text or "").lower()))
+                runs = {f"{HEAD}{w}{TAIL}"[part] for w in words for k in range(MIN_RUN, min(len(w) + 2, MAX_RUN) + 1) for part in (slice(k), slice(-k, None))}
                 seen.update((run, label) for run in runs)
                 if len(seen) > 200_000:
                     yield flush(seen)
@@ -186,44 +201,39 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine:
     known = labels.where("toxic in (0, 1) and doc_id is not null").where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
     size = dict(known.groupBy("label").count().collect())
     if len(size) < 2:
-        return Machine(Landmarks([]), np.zeros(0), 0.0, 0.0, -500.0)
+        return _constant(Landmarks([]), -500.0)
     ids = sampled(known.where("label = 0"), TRAIN_ROWS, size[0], "doc_id").union(sampled(known.where("label = 1"), TRAIN_ROWS, size[1], "doc_id"))
     # The ids are bounded by twice TRAIN_ROWS, so they go to the documents, not the texts to them.
     sample = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("text", "label")
     weigh = dict(sample.groupBy("label").count().collect())
     n = np.array([weigh.get(0, 0), weigh.get(1, 0)], float)
     if not n.all():
-        return Machine(Landmarks([]), np.zeros(0), 0.0, 0.0, -500.0)
+        return _constant(Landmarks([]), -500.0)
     marks = Landmarks(_choose(_runs(sample), n))
     if not marks.texts:
-        return Machine(marks, np.zeros(0), 0.0, 0.0, np.log(size[1] / size[0]))
+        return _constant(marks, float(np.log(size[1] / size[0])))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            labels = batch.column(1).to_pylist()
-            best: list[list[float]] = []
-            of: list[int] = []
-            empty = set(range(len(labels)))
+            found: list[list[list[float]]] = [[] for _ in range(batch.num_rows)]
             for i, x in marks.sentences([t or "" for t in batch.column(0).to_pylist()]):
-                best.append(x.tolist())
-                of.append(labels[i])
-                empty.discard(i)
-            best += [[0.0] * len(marks.texts)] * len(empty)
-            of += [labels[i] for i in empty]
-            yield pa.RecordBatch.from_arrays([pa.array(of, pa.int32()), pa.array(best, pa.list_(pa.float64()))], names=["label", "x"])
+                found[i].append(x.tolist())
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.list_(pa.list_(pa.float64())))], names=["label", "x"])
 
-    rows = sorted((r["label"], tuple(r["x"])) for r in sample.mapInArrow(features, "label int, x array<double>").collect())
-    x, y = np.array([r[1] for r in rows]), np.array([2.0 * r[0] - 1 for r in rows])
-    c = np.where(y > 0, size[1] / n[1], size[0] / n[0])
-    return _fit(marks, x, y, c / c.mean())
+    rows = sorted((r["label"], r["x"]) for r in sample.mapInArrow(features, "label int, x array<array<double>>").collect())
+    weight = np.array([size[k] / n[k] for k in (0, 1)])
+    return _fit(marks, [(np.array(x).reshape(-1, len(marks.texts)), y) for y, x in rows], weight / (weight * n).sum() * n.sum())
 
 
-def _fit(marks: Landmarks, x: np.ndarray, y: np.ndarray, c: np.ndarray) -> Machine:
+def _fit(marks: Landmarks, docs: list[tuple[np.ndarray, int]], class_weight: np.ndarray) -> Machine:
     codes, lengths = _codes(marks.texts)
-    gram = np.stack([kernel(codes, lengths, m, len(m) - 1) / own for m, own in zip(marks.marks, marks.own, strict=True)], 1)
-    gram = np.minimum(gram, 1.0)
+    gram = np.minimum(1.0, np.stack([kernel(codes, lengths, m, len(m) - 1) / own for m, own in zip(marks.marks, marks.own, strict=True)], 1))
     value, vector = np.linalg.eigh((gram + gram.T) / 2)
     white = vector / np.sqrt(np.maximum(value, 1e-2)) @ vector.T
+    # Sentences take their document's label; a document without a matching sentence stands as one empty sentence.
+    x = np.concatenate([s if len(s) else np.zeros((1, len(marks.texts))) for s, _ in docs])
+    label = np.repeat([y for _, y in docs], [max(1, len(s)) for s, _ in docs])
+    y, c = 2.0 * label - 1, class_weight[label]
     z = np.hstack((x @ white, np.ones((len(x), 1))))
     w, ridge = np.zeros(z.shape[1]), np.diag([1e-2] * (z.shape[1] - 1) + [1e-6])
     for _ in range(30):  # Newton steps on the squared hinge
@@ -232,20 +242,20 @@ def _fit(marks: Landmarks, x: np.ndarray, y: np.ndarray, c: np.ndarray) -> Machi
         if np.allclose(new, w, atol=1e-9):
             break
         w = new
-    f, t = z @ w, (y + 1) / 2
-    ab = np.array([1.0, 0.0])
-    design = np.stack((f, np.ones(len(f))), 1)
-    for _ in range(50):  # logistic calibration of the margin
-        p = 1 / (1 + np.exp(-design @ ab))
-        step = np.linalg.solve((design * (c * (p * (1 - p) + 1e-6))[:, None]).T @ design + 1e-3 * np.eye(2), design.T @ (c * (t - p)) - 1e-3 * ab)
-        ab = ab + np.clip(step, -2, 2)
+    machine = Machine(marks, white @ w[:-1], float(w[-1]), np.zeros(4))
+    design, t = np.array([machine.summary(machine.margins(s)) for s, _ in docs]), np.array([float(y) for _, y in docs])
+    c = class_weight[t.astype(int)]
+    for _ in range(50):  # logistic calibration
+        p = 1 / (1 + np.exp(-np.clip(design @ machine.calibration, -500, 500)))
+        step = np.linalg.solve((design * (c * (p * (1 - p) + 1e-6))[:, None]).T @ design + 1e-2 * np.eye(4), design.T @ (c * (t - p)) - 1e-2 * machine.calibration)
+        machine.calibration = machine.calibration + np.clip(step, -2, 2)
         if abs(step).max() < 1e-8:
             break
-    return Machine(marks, white @ w[:-1], float(w[-1]), float(ab[0]), float(ab[1]))
+    return machine
 
 
 def score(docs: DataFrame, machine: Machine, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
-    """The kept columns, `score` in [0, 1] of the worst sentence and `worst`, its features' landmark names.
+    """The kept columns, `score` in [0, 1] and `worst`, the landmarks that the worst sentence matches.
 
     Null and empty texts score like a sentence without any match.
     """
@@ -255,15 +265,18 @@ def score(docs: DataFrame, machine: Machine, keep: tuple[str, ...] = ("doc_id",)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        base = float(m.probability(np.zeros((1, len(m.weights))))[0])
+        base = m.probability(np.zeros(0))
         for whole in batches:
             for start in range(0, whole.num_rows, 2048):
                 batch = whole.slice(start, 2048)
-                out, worst = np.full(batch.num_rows, base), [[] for _ in range(batch.num_rows)]
+                found: dict[int, list[np.ndarray]] = {}
                 for i, x in m.landmarks.sentences([t or "" for t in batch.column(at).to_pylist()]):
-                    p = float(m.probability(x[None, :])[0])
-                    if p > out[i]:
-                        out[i], worst[i] = p, [t for t, v in zip(m.landmarks.texts, x, strict=True) if v > 0]
+                    found.setdefault(i, []).append(x)
+                out, worst = np.full(batch.num_rows, base), [[] for _ in range(batch.num_rows)]
+                for i, x in found.items():
+                    margins = m.margins(np.array(x))
+                    out[i] = m.probability(margins)
+                    worst[i] = [t.strip(HEAD + TAIL) for t, v in zip(m.landmarks.texts, x[margins.argmax()], strict=True) if v > 0]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:at], pa.array(out), pa.array(worst, pa.list_(pa.string()))], names=[*(f"_{i}" for i in range(at)), "score", "worst"])
 
     chosen = docs.select(*(F.col(c).alias(f"_{i}") for i, c in enumerate(keep)), F.col(text).alias("_text"))
