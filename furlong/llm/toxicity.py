@@ -29,6 +29,7 @@ DECAY, MIN_RUN, MAX_RUN, LANDMARKS, WIDTH = 0.35, 5, 9, 64, 24
 HEAD, TAIL = "\x02", "\x03"  # the marks
 TRAIN_ROWS = 1500  # bound of the sample of labelled documents of each class
 MIN_DOCS, THRESHOLD, CACHED = 4, 0.3, 1 << 18
+MIN_VALUE = 0.1  # features below it count as zero
 
 _SENTENCE = re.compile(r"[.!?\n]+(?:\s|$)")
 _SPACED = re.compile(r"(?<!\S)(?:\S[ \t]+){3,}\S(?!\S)")
@@ -91,7 +92,8 @@ class Landmarks:
             rows = np.flatnonzero((lengths >= p) & (np.bitwise_count(mask & need) >= np.bitwise_count(need) - 1))
             rows = rows[self._common(place[rows], mark) >= p]
             if len(rows):
-                for r, value in zip(rows, kernel(codes[rows], lengths[rows], mark, p) / own, strict=True):
+                values = kernel(codes[rows], lengths[rows], mark, p) / own
+                for r, value in zip(rows[values >= MIN_VALUE], values[values >= MIN_VALUE], strict=True):
                     i = owner[r]
                     if out[i] is None:
                         out[i] = np.zeros(len(self.marks))
