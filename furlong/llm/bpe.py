@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from furlong.llm.common import text_bytes
 
-LEAF_CHARS, LEAF_BYTES, KNOWN, ROWS = 16384, 32, 1 << 19, 1024
+LEAF_CHARS, LEAF_BYTES, KNOWN, ROWS = 16384, 32, 1 << 17, 512
 _NONE = 1 << 30
 _UNSAFE, _CUT = re.compile(r" (?:\s|\Z)"), re.compile(r" (?=\S)")
 
@@ -266,11 +266,11 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 
 
 def _parts(batch: pa.RecordBatch, column: int, size) -> Iterator[pa.RecordBatch]:
-    """Slices of at most ROWS rows and about 4 MB (a row at least)."""
+    """Slices of at most ROWS rows and about 1 MB (a row at least)."""
     start, sizes = 0, size(batch.column(column))
     while start < batch.num_rows:
         total = np.cumsum(sizes[start : start + ROWS])
-        step = max(1, int(np.searchsorted(total, 1 << 22)))
+        step = max(1, int(np.searchsorted(total, 1 << 20)))
         yield batch.slice(start, step)
         start += step
 

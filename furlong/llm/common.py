@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 20
 HELD_OUT = 2  # crc32(doc_id) mod 4 of the rows that nothing is learned from
 
 _SPACE = np.zeros(256, bool)
