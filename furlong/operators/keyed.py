@@ -24,9 +24,11 @@ def top_per_key(df: DataFrame, keys: list[str], order: list, n: int) -> DataFram
     return ranked.where(F.col("_rank") <= n).drop("_rank")
 
 
-def latest_snapshot(df: DataFrame, keys: list[str], snapshot: tuple[str, ...] = ("extracted_date", "run_time")) -> DataFrame:
-    """The row of the newest snapshot per key."""
-    return first_per_key(df, keys, [F.desc(c) for c in snapshot])
+def latest_snapshot(
+    df: DataFrame, keys: list[str], ties: tuple[str, ...], snapshot: tuple[str, ...] = ("extracted_date", "run_time"),
+) -> DataFrame:
+    """The row of the newest snapshot per key; among rows of one snapshot the highest in ``ties``."""
+    return first_per_key(df, keys, [F.desc(c) for c in (*snapshot, *ties)])
 
 
 def distinct_in_order(df: DataFrame, key: str, position: str) -> DataFrame:

@@ -3,101 +3,58 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# A group up to this size is sorted in one task. Larger groups are split.
-HOT_ROWS = 1_000_000
-# Ids per block: a block of unique ids has at most this many rows (twice that around zero).
+# Rows of a group that one task numbers, about.
 BLOCK = 1 << 20
+# Of so many rows of a block, each is picked with the same chance to place the cuts.
+PICKED = 64
 
 
-def number_rows(
-    df: DataFrame, key: str, day: str, row_id: str, output: str,
-    hot_rows: int = HOT_ROWS, block: int = BLOCK,
-) -> DataFrame:
-    """``row_number() over (partition by key order by day, row_id)`` for any group size.
+def number_rows(df: DataFrame, key: str, day: str, row_id: str, output: str, block: int = BLOCK) -> DataFrame:
+    """``row_number() over (partition by key order by day, row_id)`` for groups of any size and ids of any orderable type.
 
-    ``row_id`` is a unique integer. Keys with at most ``hot_rows`` rows (nearly all of them)
-    take the plain window: one shuffle. A larger group is cut into (day, id block) pieces;
-    each piece is numbered by itself and shifted by the number of rows in earlier pieces: rows
-    on earlier days (a window with one row per day) and rows of the day in earlier blocks (one
-    row per block). No task sorts more than ``max(hot_rows, 2 * block)`` rows of a group.
-
-    What is broadcast is the list of hot keys: fewer than rows / hot_rows values. Without hot
-    keys that list is empty and the adaptive planner drops the second branch before it reads
-    anything. ``df`` is read once more (key column only) to count, so pass a cheap one.
+    ``row_id`` is unique. The rows of each (key, day) are cut into blocks of about ``block`` rows at ids taken from the
+    data: a sample by the hash of the id, the same in every run, with every ``PICKED``-th id a cut. Blocks are numbered
+    by themselves and shifted by the counts of the blocks before them. Dense, sparse and text ids are cut alike, and
+    all keys take this one path; a key with few rows has no cut. The counts come from the shuffle that the numbering
+    needs anyway, so ``df`` is read twice: for the sample and for the rows.
     """
     columns = ", ".join(f"r.`{c}`" for c in df.columns)
+    every = max(1, block // PICKED)
     return df.sparkSession.sql(
         f"""
-        WITH hot AS (
-            SELECT `{key}` AS hot_key FROM {{rows}} GROUP BY `{key}` HAVING count(*) > {hot_rows}
-        ), plain AS (
-            SELECT /*+ BROADCAST(hot) */ * FROM {{rows}} LEFT ANTI JOIN hot ON `{key}` <=> hot_key
-        ), large AS (
-            SELECT /*+ BROADCAST(hot) */ *, CAST(`{row_id}` AS BIGINT) DIV {block}L AS _block
-            FROM {{rows}} LEFT SEMI JOIN hot ON `{key}` <=> hot_key
+        WITH picked AS (
+            SELECT `{key}` AS k, `{day}` AS d, sort_array(collect_list(`{row_id}`)) AS ids
+            FROM {{rows}} WHERE pmod(xxhash64(`{row_id}`), {every}) = 0 GROUP BY ALL HAVING count(*) > {PICKED}
+        ), cuts AS (
+            SELECT k, d, transform(sequence({PICKED}, size(ids) - 1, {PICKED}), i -> ids[i]) AS at FROM picked
+        ), placed AS (
+            SELECT r.*, coalesce(size(filter(at, c -> c < r.`{row_id}`)), 0) AS _block
+            FROM {{rows}} r LEFT JOIN cuts ON r.`{key}` <=> k AND r.`{day}` <=> d
+        ), local AS (
+            SELECT *, row_number() OVER (PARTITION BY `{key}`, `{day}`, _block ORDER BY `{row_id}`) AS _n FROM placed
         ), piece AS (
-            SELECT `{key}` AS k, `{day}` AS d, _block AS b, count(*) AS n FROM large GROUP BY ALL
-        ), in_day AS (
-            SELECT k, d, b, sum(n) OVER (PARTITION BY k, d ORDER BY b) - n AS before FROM piece
-        ), over_days AS (
-            SELECT k, d, sum(n) OVER (PARTITION BY k ORDER BY d) - n AS before
-            FROM (SELECT k, d, sum(n) AS n FROM piece GROUP BY k, d)
+            SELECT `{key}` AS k, `{day}` AS d, _block AS b, count(*) AS n FROM placed GROUP BY ALL
         ), shift AS (
-            SELECT i.k, i.d, i.b, i.before + o.before AS rows_before
-            FROM in_day i JOIN over_days o ON i.k <=> o.k AND i.d <=> o.d
-        ), local AS (
-            SELECT *, row_number() OVER (PARTITION BY `{key}`, `{day}`, _block ORDER BY `{row_id}`) AS _n FROM large
+            SELECT k, d, b, sum(n) OVER (PARTITION BY k ORDER BY d, b) - n AS rows_before FROM piece
         )
-        SELECT {columns}, CAST(row_number() OVER (PARTITION BY `{key}` ORDER BY `{day}`, `{row_id}`) AS BIGINT) AS `{output}`
-        FROM plain r
-        UNION ALL
-        SELECT {columns}, CAST(r._n + s.rows_before AS BIGINT)
-        FROM local r JOIN shift s ON r.`{key}` <=> s.k AND r.`{day}` <=> s.d AND r._block <=> s.b
+        SELECT {columns}, CAST(r._n + s.rows_before AS BIGINT) AS `{output}`
+        FROM local r JOIN shift s ON r.`{key}` <=> s.k AND r.`{day}` <=> s.d AND r._block = s.b
         """,
         rows=df,
     )
 
 
-def _div(column: str, size: int) -> Column:
-    """Integer quotient: exact for all longs, and never falling as the column grows."""
-    return F.expr(f"CAST(`{column}` AS BIGINT) DIV {size}L")
-
-
-def _before(n: str, window: W) -> Column:
-    """Sum of ``n`` over the rows before this one."""
-    running = F.sum(n).over(window.rowsBetween(W.unboundedPreceding, W.currentRow))
-    return running - F.col(n)
-
-
 def number_by_position(df: DataFrame, position: str, output: str, block: int = BLOCK) -> DataFrame:
-    """Zero-based number of each row in the order of ``position``, a unique integer.
+    """Zero-based number of each row in the order of ``position``, which is unique.
 
-    A global ``row_number`` would sort all rows in one task. Here each block of positions is
-    numbered on its own; only the block counts meet in one place, and those are (range of
-    positions) / block rows.
+    A global ``row_number`` would sort all rows in one task. This is the numbering above with one key: only the block
+    counts, rows / block of them, meet in one place.
     """
-    b = _div(position, block)
-    counts = df.groupBy(b.alias("_c_block")).agg(F.count(F.lit(1)).alias("_n"))
-    # Two levels keep the single-partition window at (range / block²) rows.
-    group = _div("_c_block", block)
-    groups = counts.groupBy(group.alias("_g")).agg(F.sum("_n").alias("_n"))
-    before_group = groups.select(
-        F.col("_g").alias("_gg"), _before("_n", W.orderBy("_g")).alias("_before_group")
-    )
-    before_block = counts.withColumn("_g", group).withColumn(
-        "_before_block", _before("_n", W.partitionBy("_g").orderBy("_c_block"))
-    )
-    offsets = before_block.join(before_group, F.col("_g") == F.col("_gg")).select(
-        "_c_block", (F.col("_before_block") + F.col("_before_group")).alias("_offset")
-    )
-    local = df.withColumn("_block", b).withColumn(
-        "_local", F.row_number().over(W.partitionBy("_block").orderBy(position))
-    )
-    number = (F.col("_offset") + F.col("_local") - 1).cast("bigint")
-    return local.join(offsets, F.col("_block") == F.col("_c_block")).select(*df.columns, number.alias(output))
+    one = df.withColumns({"_key": F.lit(0), "_day": F.lit(0)})
+    numbered = number_rows(one, "_key", "_day", position, "_number", block)
+    return numbered.select(*df.columns, (F.col("_number") - 1).alias(output))
 
 
 def batch_number(index: Column, size: int) -> Column:

@@ -16,13 +16,3 @@ def compute_once(df: DataFrame, keep: list[str] | tuple[str, ...], columns: dict
     # Computed by a projection (compiled code, shared sub-expressions), then passed through.
     computed = df.select(*keep, *[(F.expr(c) if isinstance(c, str) else c).alias(name) for name, c in columns.items()])
     return computed.select(*keep, F.inline(F.array(F.struct(*columns))))
-
-
-def spread(scan: DataFrame) -> DataFrame:
-    """Rows of a scan over all cores, where the scan has fewer splits than there are cores.
-
-    For input whose rows are costly to process and that comes as a few files which cannot be
-    split (one row group, one gzip file). A scan with splits enough stays as it is: no shuffle.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

@@ -12,9 +12,6 @@ from furlong.operators.keyed import latest_snapshot, top_per_key
 from furlong.schemas import BOOK, BOOK_PATHS, CATALOGUE, CATALOGUE_PATHS
 from furlong.sources.landing import records
 
-# Fixed value: markets per request of the catalogue service.
-MAX_MARKETS = 200
-
 
 def _of(path: str) -> Column:
     return F.try_variant_get("record", path, "string")
@@ -66,7 +63,7 @@ def book(responses: DataFrame, catalogue: DataFrame, keep: tuple[str, ...] = ())
     return books_of(accepted(gated_book(responses, keep)), catalogue)
 
 
-def first_to_start(catalogue: DataFrame, per: list[str], n: int = MAX_MARKETS) -> DataFrame:
+def first_to_start(catalogue: DataFrame, per: list[str], n: int) -> DataFrame:
     """The first ``n`` markets to start, per group (a race day, say); without groups, overall."""
     order = [F.asc("market_start_time"), F.asc("market_id")]
     if not per:
@@ -89,12 +86,12 @@ def flat_runners(df: DataFrame, fields: dict[str, tuple[str, str]], keep: tuple[
 
 
 def latest_book(books: DataFrame) -> DataFrame:
-    """Newest snapshot per market."""
-    return latest_snapshot(books, ["marketId"])
+    """Newest snapshot per market; of equal ones the last to arrive."""
+    return latest_snapshot(books, ["marketId"], ties=("arrival",))
 
 
 def latest_catalogue(catalogue: DataFrame) -> DataFrame:
-    return latest_snapshot(catalogue, ["market_id"])
+    return latest_snapshot(catalogue, ["market_id"], ties=("arrival",))
 
 
 def catalogue_book(catalogue: DataFrame, books: DataFrame) -> DataFrame:

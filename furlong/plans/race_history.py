@@ -15,7 +15,6 @@ from furlong.schemas import RACE
 from furlong.sources.landing import forms, meetings
 
 # Fixed values.
-RACES_PER_MEETING = 10
 RACE_STATUS = "completed"
 SHORT_NAME_LENGTH = 100
 
@@ -23,8 +22,8 @@ _MEETING = ["meeting_date", "track"]
 
 
 def first_failures(responses: DataFrame) -> DataFrame:
-    """Lowest race number per (date, track) that did not answer 200. Meetings without one have no row."""
-    failed = responses.where(F.col("http_status") != 200)
+    """Lowest race number per (date, track) that did not answer 200 (no status counts as none). Meetings without one have no row."""
+    failed = responses.where(~F.col("http_status").eqNullSafe(200))
     return failed.groupBy(*_MEETING).agg(F.min("race_num").alias("first_failure"))
 
 
@@ -38,19 +37,18 @@ def before_failure(read: DataFrame, failures: DataFrame) -> DataFrame:
     return read.join(failures, _MEETING, "left").where(below).select(*read.columns)
 
 
-def asked(responses: DataFrame, races_per_meeting: int = RACES_PER_MEETING) -> DataFrame:
-    """Responses to the race numbers that are asked for."""
-    return responses.where(F.col("race_num").between(1, races_per_meeting))
-
-
 def answered(responses: DataFrame) -> DataFrame:
     return responses.where(F.col("http_status") == 200)
 
 
-def answered_prefix(responses: DataFrame, races_per_meeting: int = RACES_PER_MEETING) -> DataFrame:
+def answered_prefix(responses: DataFrame) -> DataFrame:
     """Responses that a reader gets who asks for races 1, 2, ... and stops at the first failure."""
-    wanted = asked(responses, races_per_meeting)
-    return before_failure(answered(wanted), first_failures(wanted))
+    return before_failure(answered(responses), first_failures(responses))
+
+
+def race_rejects(responses: DataFrame) -> DataFrame:
+    """Answered forms that make no race row: the body or a field does not parse, or the course is not given."""
+    return parse_forms(answered_prefix(responses)).where("NOT valid OR track IS NULL")
 
 
 def _kind(name: str) -> Column:
@@ -123,12 +121,11 @@ def parse_forms(responses: DataFrame) -> DataFrame:
     )
 
 
-def race_rows(responses: DataFrame, tracks: DataFrame, now: Column, races_per_meeting: int = RACES_PER_MEETING) -> DataFrame:
+def race_rows(responses: DataFrame, tracks: DataFrame, now: Column) -> DataFrame:
     """Race rows of all readable responses, with ``meeting_date`` and ``arrival``; keys may repeat."""
-    wanted = asked(responses, races_per_meeting)
     # Parsed before the join: a few columns travel, not the response bodies.
-    read = parse_forms(answered(wanted)).where("valid and track is not null")
-    parsed = before_failure(read, first_failures(wanted))
+    read = parse_forms(answered(responses)).where("valid and track is not null")
+    parsed = before_failure(read, first_failures(responses))
     code = track_code(F.col("track"), F.col("mapped_code"))
     day = F.col("meeting_date")
     return with_mapped_code(parsed, tracks).select(
@@ -152,20 +149,33 @@ def race_rows(responses: DataFrame, tracks: DataFrame, now: Column, races_per_me
     )
 
 
-def race_history(responses: DataFrame, tracks: DataFrame, now: Column, races_per_meeting: int = RACES_PER_MEETING) -> DataFrame:
+def race_history(responses: DataFrame, tracks: DataFrame, now: Column) -> DataFrame:
     """One row per race id: the first response that arrived for it."""
-    rows = race_rows(responses, tracks, now, races_per_meeting)
+    rows = race_rows(responses, tracks, now)
     return first_per_key(rows, ["race_id"], [F.asc("arrival")]).select(*RACE.names)
 
 
-def request_plan(
-    meeting_responses: DataFrame, first_day: Column | None = None, last_day: Column | None = None,
-    races_per_meeting: int = RACES_PER_MEETING,
-) -> DataFrame:
-    """Requests to make: each meeting of each answered date, races 1 to ``races_per_meeting``."""
+def race_audit(responses: DataFrame, tracks: DataFrame, now: Column) -> DataFrame:
+    """One row: forms attempted, and of them inserted, ignored (their race id was there) and rejected."""
+    # The forms are parsed once; ids and rejects are counted in the same pass.
+    parsed = parse_forms(answered_prefix(responses))
+    code = track_code(F.col("track"), F.col("mapped_code"))
+    good = F.col("valid") & F.col("track").isNotNull()
+    key = F.when(good, race_id(code, F.col("meeting_date"), F.col("race_num")))
+    per_id = with_mapped_code(parsed, tracks).groupBy(key.alias("race_id")).agg(F.count(F.lit(1)).alias("n"))
+    counts = per_id.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("attempted"), F.count("race_id").alias("inserted"),
+        F.coalesce(F.sum(F.when(F.col("race_id").isNotNull(), F.col("n") - 1)), F.lit(0)).alias("ignored"),
+        F.coalesce(F.sum(F.when(F.col("race_id").isNull(), F.col("n"))), F.lit(0)).alias("rejected"),
+    )
+    return counts
+
+
+def request_plan(meeting_responses: DataFrame, races_per_meeting: int, days: DataFrame | None = None) -> DataFrame:
+    """Requests to make: each meeting of each answered date, races 1 to ``races_per_meeting``; with ``days`` (column ``day``), of those days."""
     held = meetings(meeting_responses)
-    if first_day is not None:
-        held = held.where(F.col("meeting_date").between(first_day, last_day))
+    if days is not None:
+        held = held.join(days, F.col("meeting_date") == F.col("day"), "left_semi")
     return held.select(
         "meeting_date",
         slug_or_track(F.col("slug"), F.col("track")).alias("track"),

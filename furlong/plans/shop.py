@@ -14,7 +14,7 @@ from furlong.functions.keys import surrogate_key
 from furlong.functions.money import cents_to_dollars
 from furlong.functions.predicates import DRINK_TYPE, FOOD_TYPE, customer_type, flag_to_int, is_type
 from furlong.operators.joins import lookup_pair
-from furlong.operators.ranking import HOT_ROWS, number_rows
+from furlong.operators.ranking import number_rows
 
 # ---------------------------------------------------------------- staging
 
@@ -132,10 +132,10 @@ SUMMARY_COLUMNS = (
 )
 
 
-def _with_summary(stg_orders: DataFrame, summary: DataFrame, hot_rows: int) -> DataFrame:
+def _with_summary(stg_orders: DataFrame, summary: DataFrame) -> DataFrame:
     # The number depends on the order alone, so it is taken before the join: the narrow rows
     # are numbered. Ties on a day go by order_id.
-    numbered = number_rows(stg_orders, "customer_id", "order_date", "order_id", "customer_order_number", hot_rows)
+    numbered = number_rows(stg_orders, "customer_id", "order_date", "order_id", "customer_order_number")
     return numbered.join(summary, "order_id", "left").select(
         *[numbered[c] for c in stg_orders.columns],
         *SUMMARY_COLUMNS,
@@ -145,17 +145,16 @@ def _with_summary(stg_orders: DataFrame, summary: DataFrame, hot_rows: int) -> D
     )
 
 
-def orders(stg_orders: DataFrame, order_items: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def orders(stg_orders: DataFrame, order_items: DataFrame) -> DataFrame:
     """Orders with their item summary, food and drink flags and the customer's order number.
 
     Orders without items keep NULL counts and NULL flags.
     """
-    return _with_summary(stg_orders, order_summary(order_items), hot_rows)
+    return _with_summary(stg_orders, order_summary(order_items))
 
 
 def orders_from_staging(
     stg_orders: DataFrame, stg_order_items: DataFrame, stg_products: DataFrame, stg_supplies: DataFrame,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """The orders mart straight from staging, for runs that do not store ``order_items``.
 
@@ -172,7 +171,7 @@ def orders_from_staging(
             for c in SUMMARY_COLUMNS
         ],
     )
-    return _with_summary(stg_orders, scaled, hot_rows)
+    return _with_summary(stg_orders, scaled)
 
 
 def order_history(orders: DataFrame) -> DataFrame:

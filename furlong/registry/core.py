@@ -9,9 +9,7 @@ plain result types::
 
 from __future__ import annotations
 
-import os
 import re
-import tempfile
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -33,9 +31,8 @@ class Inputs:
         return proxies.table(self.spark, self.sf_dir, name)
 
     def scratch(self) -> str:
-        """A new folder under the session's shared checkpoint folder; a local one only where none is set."""
-        base = self.spark.conf.get("spark.checkpoint.dir", None)
-        base = base or os.path.join(tempfile.gettempdir(), "furlong")
+        """A new folder under the session's shared checkpoint folder, or its warehouse where none is set."""
+        base = self.spark.conf.get("spark.checkpoint.dir", None) or self.spark.conf.get("spark.sql.warehouse.dir")
         return f"{base.rstrip('/')}/furlong-{uuid.uuid4().hex}"
 
 

@@ -170,12 +170,13 @@ add("s3_records_per_file", "n_records:l within_cap:b", file_sizes,
 def second_run_skipped(t: Inputs):
     """Write days only if they are not there: the second run writes nothing."""
     root = f"{t.scratch()}/catalogue"
-    day = "2024-01-15"
+    days = [str(r[0]) for r in t("catalogue_raw").select("extracted_date").distinct().orderBy("extracted_date").collect()]
     for run_time in ("07-30", "11-00"):
-        if not bronze.has_files(t.spark, root, day):
-            part = catalogue(t).drop("arrival").where(F.col("extracted_date") == day)
-            bronze.write_ndjson(bronze.stamp(part, day, run_time), root)
-    return counted(bronze.read_ndjson(t.spark, root, CATALOGUE, day))
+        missing = [day for day in days if not bronze.has_files(t.spark, root, day)]
+        if missing:
+            part = catalogue(t).drop("arrival").where(F.col("extracted_date").isin(missing)).withColumn("run_time", F.lit(run_time))
+            bronze.write_ndjson(part, root, many_days=True)
+    return counted(bronze.read_ndjson(t.spark, root, CATALOGUE))
 
 
 def second_run_added(t: Inputs):
@@ -188,7 +189,7 @@ def second_run_added(t: Inputs):
 
 _STAMPED = "SELECT * REPLACE (DATE '2024-01-15' AS extracted_date, '{0}' AS run_time), len(runners) AS n_runners FROM m_catalogue"
 add("s4_idempotent_write", CAT_SPEC, second_run_skipped,
-    _STAMPED.format("07-30") + " WHERE extracted_date = DATE '2024-01-15'")
+    "SELECT * REPLACE ('07-30' AS run_time), len(runners) AS n_runners FROM m_catalogue")
 add("s5_forced_run", CAT_SPEC, second_run_added, f"{_STAMPED.format('07-30')} UNION ALL {_STAMPED.format('11-00')}")
 add("s19_registered_table", CAT_SPEC,
     lambda t: counted(_stored(t, catalogue(t).drop("arrival"), RUN)), f"SELECT *, {_N} FROM m_catalogue")
@@ -227,8 +228,9 @@ add("f6_start_time_range", "market_id market_start_time",
 add("f7_ids_present", "market_id arrival:l",
     lambda t: catalogue(t).withColumn("market_id", F.when(F.col("arrival") % 10 != 0, F.col("market_id")).otherwise("")).where(has_text(F.col("market_id"))),
     "SELECT market_id, arrival FROM m_catalogue WHERE arrival % 10 <> 0")
+MAX_MARKETS = 200  # fixed value: markets per request of the catalogue service
 add("t1_first_to_start", f"{RUN_SPEC} market_id market_start_time",
-    lambda t: markets.first_to_start(catalogue(t), ["extracted_date"]),
+    lambda t: markets.first_to_start(catalogue(t), ["extracted_date"], MAX_MARKETS),
     """SELECT extracted_date, run_time, market_id, market_start_time FROM m_catalogue
        QUALIFY ROW_NUMBER() OVER (PARTITION BY extracted_date ORDER BY market_start_time, market_id) <= 200""")
 add("t2_head", "market_id market_start_time", lambda t: markets.first_to_start(catalogue(t), [], 5),
@@ -240,11 +242,11 @@ add("a10_distinct_market_ids", "market_id first_seen:l",
     "SELECT marketId AS market_id, MIN(arrival) AS first_seen FROM m_book_all GROUP BY 1")
 add("j9_book_of_catalogue", f"{RUN_SPEC} marketId status", book, "SELECT extracted_date, run_time, marketId, status FROM m_book")
 add("w4_latest_book", f"{RUN_SPEC} marketId status totalMatched:f", lambda t: markets.latest_book(all_books(t)),
-    "SELECT * FROM m_book_all QUALIFY ROW_NUMBER() OVER (PARTITION BY marketId ORDER BY extracted_date DESC, run_time DESC) = 1")
+    "SELECT * FROM m_book_all QUALIFY ROW_NUMBER() OVER (PARTITION BY marketId ORDER BY extracted_date DESC, run_time DESC, arrival DESC) = 1")
 add("latest_book", f"{RUN_SPEC} marketId status totalMatched:f", lambda t: markets.latest_book(all_books(t)),
-    "SELECT * FROM m_book_all QUALIFY ROW_NUMBER() OVER (PARTITION BY marketId ORDER BY extracted_date DESC, run_time DESC) = 1")
-model("m_latest_book", "SELECT * FROM m_book_all QUALIFY ROW_NUMBER() OVER (PARTITION BY marketId ORDER BY extracted_date DESC, run_time DESC) = 1")
-model("m_latest_cat", "SELECT * FROM m_catalogue QUALIFY ROW_NUMBER() OVER (PARTITION BY market_id ORDER BY extracted_date DESC, run_time DESC) = 1")
+    "SELECT * FROM m_book_all QUALIFY ROW_NUMBER() OVER (PARTITION BY marketId ORDER BY extracted_date DESC, run_time DESC, arrival DESC) = 1")
+model("m_latest_book", "SELECT * FROM m_book_all QUALIFY ROW_NUMBER() OVER (PARTITION BY marketId ORDER BY extracted_date DESC, run_time DESC, arrival DESC) = 1")
+model("m_latest_cat", "SELECT * FROM m_catalogue QUALIFY ROW_NUMBER() OVER (PARTITION BY market_id ORDER BY extracted_date DESC, run_time DESC, arrival DESC) = 1")
 CATBOOK = "market_id market_name event_venue status book_matched:f selection_id:l runner_status last_price_traded:f"
 _CATBOOK_SQL = """SELECT market_id, market_name, event_venue, status, totalMatched AS book_matched,
     CAST(e ->> '$.selectionId' AS BIGINT) AS selection_id, e ->> '$.status' AS runner_status,

@@ -12,7 +12,6 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 from furlong.functions.tracks import TRACK_CODES
-from furlong.operators.stage import spread
 
 DRIVER_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -203,16 +202,9 @@ def needed(names: list[str] | tuple[str, ...]) -> list[str]:
     return order
 
 
-# Proxies with many or costly rows per input row. The driver's files have one row group each,
-# which is one task; see ``spread``. Inputs with splits enough are read as they are.
-SPREAD = ("form_raw", "meetings_raw", "catalogue_raw", "snapshots", "raw_items", "raw_supplies", "silver_runners")
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table or a proxy as a DataFrame."""
     if name in DRIVER_TABLES:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
     inputs = {parent: table(spark, sf_dir, parent) for parent in set(_NAME.findall(PROXIES[name]))}
-    if name in SPREAD:
-        inputs = {parent: spread(df) if parent in DRIVER_TABLES else df for parent, df in inputs.items()}
     return spark.sql(PROXIES[name], **inputs)

@@ -12,7 +12,7 @@ from furlong.plans import race_history, racing
 from furlong.registry.core import Inputs, registry
 from furlong.schemas import RACE
 from furlong.sources.keyed import insert_or_ignore, new_rows, read_keyed
-from furlong.sources.landing import forms, meetings
+from furlong.sources.landing import forms, meeting_rejects, meetings
 
 model, add = registry.model, registry.add
 
@@ -57,8 +57,8 @@ MEETINGS = "meeting_date:d slug track"
 model("m_meetings", """SELECT meeting_date, m ->> '$.slug' AS slug, m ->> '$.track' AS track FROM (
     SELECT meeting_date, UNNEST(CAST(json_extract(body, '$.meetings') AS JSON[])) AS m
     FROM meetings_raw WHERE http_status = 200)""")
-model("m_asked", "SELECT * FROM form_raw WHERE race_num BETWEEN 1 AND 10")
-model("m_failures", "SELECT meeting_date, track, MIN(race_num) AS first_failure FROM m_asked WHERE http_status <> 200 GROUP BY 1, 2")
+model("m_asked", "SELECT * FROM form_raw")
+model("m_failures", "SELECT meeting_date, track, MIN(race_num) AS first_failure FROM m_asked WHERE http_status IS DISTINCT FROM 200 GROUP BY 1, 2")
 model("m_prefix", """SELECT a.* FROM m_asked a LEFT JOIN m_failures f ON a.meeting_date = f.meeting_date AND a.track = f.track
     WHERE a.http_status = 200 AND (f.first_failure IS NULL OR a.race_num < f.first_failure)""")
 model("m_forms", """SELECT meeting_date, track, race_num, arrival, json_type(j, '$') AS top,
@@ -68,7 +68,7 @@ model("m_forms", """SELECT meeting_date, track, race_num, arrival, json_type(j,
     FROM (SELECT *, CASE WHEN json_valid(body) THEN CAST(body AS JSON) END AS j FROM {source})""".replace("{source}", "m_prefix"))
 model("m_parsed", """SELECT *, TRY_CAST(REPLACE(REPLACE(NULLIF(prize, ''), '$', ''), ',', '') AS DOUBLE) AS prize_total,
     TRY_CAST(REPLACE(NULLIF(distance, ''), 'm', '') AS INTEGER) AS distance_meters FROM m_forms""")
-model("m_valid", """SELECT * FROM m_parsed WHERE top = 'OBJECT' AND (name_type IS NULL OR name_type = 'VARCHAR')
+model("m_valid", """SELECT * FROM m_parsed WHERE top = 'OBJECT' AND track IS NOT NULL AND (name_type IS NULL OR name_type = 'VARCHAR')
     AND NOT (COALESCE(prize, '') <> '' AND prize_total IS NULL)
     AND NOT (COALESCE(distance, '') <> '' AND distance_meters IS NULL)""")
 model("m_tracks", "SELECT slug, code FROM (VALUES " + ", ".join(f"('{s}', '{c}')" for s, c in TRACK_CODES.items()) + ") AS v(slug, code)")
@@ -103,12 +103,17 @@ add("s9_forms", "meeting_date:d track race_num:l http_status:l is_json:b race_cl
 add("f8_prefix_of_races", "meeting_date:d track race_num:l arrival:l",
     lambda t: race_history.answered_prefix(t("form_raw")), "SELECT * FROM m_prefix")
 add("w2_first_failure", "meeting_date:d track first_failure:l",
-    lambda t: race_history.first_failures(t("form_raw").where("race_num <= 10")), "SELECT * FROM m_failures")
+    lambda t: race_history.first_failures(t("form_raw")), "SELECT * FROM m_failures")
 add("f9_answered_dates", "meeting_date:d body",
     lambda t: t("meetings_raw").where("http_status = 200"), "SELECT meeting_date, body FROM meetings_raw WHERE http_status = 200")
 add("f10_unparsable_rows", "meeting_date:d track race_num:l arrival:l",
-    lambda t: race_history.parse_forms(race_history.answered_prefix(t("form_raw"))).where("NOT valid"),
+    lambda t: race_history.race_rejects(t("form_raw")),
     "SELECT * FROM m_prefix WHERE arrival NOT IN (SELECT arrival FROM m_valid)")
+add("race_audit", "attempted:l inserted:l ignored:l rejected:l",
+    lambda t: race_history.race_audit(t("form_raw"), tracks_table(t.spark), now()),
+    """SELECT *, attempted - inserted - rejected AS ignored FROM (
+       SELECT (SELECT COUNT(*) FROM m_prefix) AS attempted, (SELECT COUNT(*) FROM m_history_rows) AS inserted,
+              (SELECT COUNT(*) FROM m_prefix WHERE arrival NOT IN (SELECT arrival FROM m_valid)) AS rejected)""")
 add("p14_race_row", f"{RACE_ROW} arrival:l", rows, "SELECT * FROM m_race_rows")
 add("p15_constant_status", "race_id race_status arrival:l", rows, "SELECT * FROM m_race_rows")
 add("p16_load_timestamps", "race_id record_created_date:t extracted_at:t",
@@ -207,10 +212,15 @@ add("x19_date_spine", "day:d n:l", orders_per_day,
     """SELECT s.day, COUNT(o.o_orderkey) AS n FROM m_spine s LEFT JOIN orders o ON CAST(o.o_orderdate AS DATE) = s.day GROUP BY 1""")
 
 # ---------------------------------------------------------------- request plan
+ASKED = 10  # fixed value: race numbers asked for per meeting
 model("m_requests", """SELECT meeting_date, COALESCE(NULLIF(slug, ''), track) AS track, UNNEST(range(1, 11)) AS race_num FROM m_meetings""")
 PLAN = "meeting_date:d track race_num:l"
-add("request_plan", PLAN, lambda t: race_history.request_plan(t("meetings_raw")), "SELECT * FROM m_requests")
+add("request_plan", PLAN, lambda t: race_history.request_plan(t("meetings_raw"), ASKED), "SELECT * FROM m_requests")
 add("j11_dates_meetings_races", PLAN,
-    lambda t: race_history.request_plan(t("meetings_raw"), F.lit("2000-08-01").cast("date"), F.lit("2001-08-01").cast("date")),
-    "SELECT * FROM m_requests WHERE meeting_date BETWEEN DATE '2000-08-01' AND DATE '2001-08-01'")
+    lambda t: race_history.request_plan(t("meetings_raw"), ASKED, spine(t)),
+    "SELECT * FROM m_requests WHERE meeting_date IN (SELECT day FROM m_spine)")
+add("s8_meeting_rejects", "meeting_date:d body", lambda t: meeting_rejects(t("meetings_raw")),
+    """SELECT meeting_date, body FROM meetings_raw WHERE http_status = 200 AND (NOT json_valid(body)
+       OR (CASE WHEN json_valid(body) THEN json_type(body, '$') END) <> 'OBJECT'
+       OR COALESCE(CASE WHEN json_valid(body) THEN json_type(body, '$.meetings') END, 'NULL') NOT IN ('ARRAY', 'NULL'))""")
 assert set(RACE.names) == {c.split(":")[0] for c in RACE_TABLE.split()}

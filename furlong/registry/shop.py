@@ -181,7 +181,7 @@ add("w1_customer_order_number", "order_id:l customer_id:l order_date:d customer_
     "SELECT order_id, customer_id, order_date, customer_order_number FROM m_orders_mart")
 add("w1_customer_order_number_split", "order_id:l customer_id:l order_date:d customer_order_number:l",
     lambda t: ranking.number_rows(staged(t, "stg_orders"), "customer_id", "order_date", "order_id", "customer_order_number",
-                                  hot_rows=10, block=1000),
+                                  block=100),
     "SELECT order_id, customer_id, order_date, customer_order_number FROM m_orders_mart")
 
 # ---------------------------------------------------------------- scalar

@@ -52,13 +52,13 @@ def has_files(spark: SparkSession, root: str, day: str) -> bool:
     try:
         files = (
             spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-            .load(_day_folder(root, day))
+            .load(_day_folder(root, day)).select("path")
         )
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             return False
         raise
-    return len(files.inputFiles()) > 0
+    return not files.limit(1).isEmpty()
 
 
 def count_lines(spark: SparkSession, folder: str) -> int:

@@ -41,6 +41,17 @@ def meetings(responses: DataFrame) -> DataFrame:
     )
 
 
+def meeting_rejects(responses: DataFrame) -> DataFrame:
+    """Answers 200 that hold no meetings because they cannot be read: no JSON object, or ``meetings`` that is no array.
+
+    A missing or null ``meetings`` is an answer without meetings.
+    """
+    body = F.try_parse_json("body")
+    kind = F.schema_of_variant(F.try_variant_get(body, "$.meetings", "variant"))
+    fine = F.schema_of_variant(body).startswith("OBJECT") & (kind.isNull() | (kind == "VOID") | kind.startswith("ARRAY"))
+    return responses.where((F.col("http_status") == 200) & ~F.coalesce(fine, F.lit(False)))
+
+
 def forms(responses: DataFrame) -> DataFrame:
     """Form responses with the parsed object in ``form``; NULL where the body is no JSON."""
     keep = [c for c in responses.columns if c != "body"]

@@ -47,11 +47,18 @@ def test_stops_at_the_first_failure_of_a_meeting(spark):
     assert rows(got, "track", "race_num") == [("a", 1), ("a", 2), ("b", 4)]
 
 
-def test_races_above_the_cap_do_not_count(spark):
-    # A failure above the cap is never seen either.
-    responses = [("a", 10, 200, GOOD), ("a", 11, 404, GOOD), ("a", 12, 200, GOOD)]
-    assert [r.race_order for r in history(spark, *responses).collect()] == [10]
-    assert history(spark, *responses, races_per_meeting=12).count() == 1
+def test_all_landed_races_count(spark):
+    responses = [("a", 10, 200, GOOD), ("a", 11, 200, GOOD), ("a", 12, 200, GOOD), ("b", 11, 404, GOOD), ("b", 12, 200, GOOD)]
+    assert sorted(r.race_order for r in history(spark, *responses).collect()) == [10, 11, 12]
+
+
+def test_no_status_ends_the_meeting_and_rejects_are_told(spark):
+    responses = [("a", 1, 200, GOOD), ("a", 2, None, GOOD), ("a", 3, 200, GOOD), (None, 1, 200, GOOD), ("c", 1, 200, "broken")]
+    landed = forms(spark, *responses)
+    assert [r.race_order for r in history(spark, *responses).collect()] == [1]
+    assert race_history.race_rejects(landed).count() == 2
+    counts = race_history.race_audit(landed, tracks_table(spark), F.lit(datetime(2026, 1, 1))).first()
+    assert tuple(counts) == (3, 1, 0, 2)
 
 
 @pytest.mark.parametrize("change,kept", [
@@ -87,9 +94,9 @@ def test_request_plan(spark):
     df = spark.createDataFrame([(DAY, 200, body), (date(2025, 1, 16), 500, body), (date(2025, 1, 17), 200, "{}"), (date(2025, 1, 18), 200, "x")],
                                "meeting_date date, http_status int, body string")
     assert meetings(df).count() == 3
-    plan = race_history.request_plan(df)
+    plan = race_history.request_plan(df, 10)
     assert plan.count() == 30 and {r.track for r in plan.collect()} == {"s", "u", "v"}
-    assert race_history.request_plan(df, F.lit(date(2025, 1, 16)), F.lit(date(2025, 1, 20))).count() == 0
+    assert race_history.request_plan(df, 10, spark.createDataFrame([(date(2025, 1, 16),)], "day date")).count() == 0
 
 
 # ---------------------------------------------------------------- Gold
