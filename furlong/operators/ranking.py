@@ -52,7 +52,9 @@ def number_by_position(df: DataFrame, position: str, output: str, block: int = B
     A global ``row_number`` would sort all rows in one task. This is the numbering above with one key: only the block
     counts, rows / block of them, meet in one place.
     """
-    one = df.withColumns({"_key": F.lit(0), "_day": F.lit(0)})
+    # Zero for every row, but not a literal: the planner would turn the join on it into one without a key.
+    zero = F.pmod(F.xxhash64(position), F.lit(1))
+    one = df.withColumns({"_key": zero, "_day": zero})
     numbered = number_rows(one, "_key", "_day", position, "_number", block)
     return numbered.select(*df.columns, (F.col("_number") - 1).alias(output))
 
