@@ -6,15 +6,15 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 from zoneinfo import ZoneInfo
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from furlong.functions.dates import ZONE
 from furlong.functions.gate import accepted, passes, rejected
-from furlong.plans.markets import books_of, gated_book, gated_catalogue
+from furlong.plans.markets import books_of, gated_book, gated_catalogue, of_day
 from furlong.schemas import CATALOGUE
-from furlong.sources.bronze import count_lines, has_files, read_ndjson, stamp, write_ndjson
+from furlong.sources.audit import observed
+from furlong.sources.bronze import has_files, has_run, read_ndjson, write_run
 
 MODES = ("catalogue", "book", "all")
 
@@ -46,12 +46,14 @@ def run_catalogue(
 ) -> RunResult:
     """Write the day's valid markets, and the rejected ones with their cause aside.
 
-    A day that has files is skipped unless ``overwrite``, which adds a run folder.
+    Responses carry ``extracted_date``, the day they landed for; no other day is read. Of the accepted markets those that
+    start on another local day are left out; every reject of the day is kept. A day that has files is skipped unless
+    ``overwrite``, which adds a run folder, or replaces the folder of the same minute.
     """
     spark = responses.sparkSession
     if not overwrite and has_files(spark, paths.catalogue, day):
         return RunResult(skipped=True)
-    gated = gated_catalogue(responses, day=F.lit(day).cast("date"))
+    gated = of_day(gated_catalogue(_landed_for(responses, day)), F.lit(day).cast("date"))
     return _write(gated, accepted, f"{paths.quarantine}/catalogue", paths.catalogue, day, now, records_per_file)
 
 
@@ -59,12 +61,12 @@ def run_book(
     spark: SparkSession, responses: DataFrame, paths: BronzePaths, day: str, now: datetime,
     overwrite: bool = False, records_per_file: int | None = None,
 ) -> RunResult:
-    """Write the valid books of the markets in the day's catalogue, all runs of it."""
+    """Write the day's valid books of the markets in the day's catalogue, all runs of it."""
     if not overwrite and has_files(spark, paths.book, day):
         return RunResult(skipped=True)
     catalogue = read_ndjson(spark, paths.catalogue, CATALOGUE, day)
     wanted = lambda gated: books_of(accepted(gated), catalogue)
-    return _write(gated_book(responses), wanted, f"{paths.quarantine}/book", paths.book, day, now, records_per_file)
+    return _write(gated_book(_landed_for(responses, day)), wanted, f"{paths.quarantine}/book", paths.book, day, now, records_per_file)
 
 
 def run(
@@ -87,29 +89,29 @@ def run(
     return results
 
 
+def results_table(spark: SparkSession, results: dict[str, RunResult], day: str, now: datetime) -> DataFrame:
+    """The outcome of a run as rows: ``feed``, ``extracted_date``, ``run_time``, ``skipped``, ``success``, ``failed``."""
+    rows = [(feed, day, _run_time(now), r.skipped, r.success, r.failed) for feed, r in results.items()]
+    table = spark.createDataFrame(rows, "feed string, extracted_date string, run_time string, skipped boolean, success bigint, failed bigint")
+    return table.withColumn("extracted_date", F.col("extracted_date").cast("date"))
+
+
+def _landed_for(responses: DataFrame, day: str) -> DataFrame:
+    return responses.where(F.col("extracted_date") == F.lit(day).cast("date"))
+
+
 def _write(gated, rows_to_keep, quarantine, root, day, now, records_per_file) -> RunResult:
-    spark = gated.sparkSession
-    run_time = now.astimezone(ZoneInfo(ZONE)).strftime("%H-%M")
-    # The write itself counts the rejects below the gate's filter. Usually there are none and
-    # the responses are read once; only if there are some, a second pass stores them.
-    counted = Observation()
-    seen = gated.observe(counted, F.count_if(~passes()).alias("rejects"))
-    write_ndjson(stamp(rows_to_keep(seen), day, run_time), root, records_per_file)
-    quarantined = 0
-    if _count(counted) != 0:
-        write_ndjson(stamp(rejected(gated), day, run_time), quarantine)
-        quarantined = count_lines(spark, _run_folder(quarantine, day, run_time))
-    written = count_lines(spark, _run_folder(root, day, run_time))
-    return RunResult(skipped=False, success=written, failed=quarantined)
-
-
-def _count(counted: Observation) -> int | None:
-    """The observed number; None where the planner found the input empty and measured nothing."""
-    try:
-        return counted.get["rejects"]
-    except Py4JJavaError:
-        return None
-
-
-def _run_folder(root: str, day: str, run_time: str) -> str:
-    return f"{root}/extracted_date={day}/run_time={run_time}"
+    run_time = _run_time(now)
+    # The write counts what it stores, and the rejects below the gate's filter. Usually there are none and the
+    # responses are read once; only if there are some, or the planner skipped that branch, a second pass stores them.
+    rejects, written, stored = Observation(), Observation(), Observation()
+    seen = gated.observe(rejects, F.count_if(~passes()).alias("n"))
+    kept = rows_to_keep(seen).observe(written, F.count(F.lit(1)).alias("n"))
+    success, failed = write_run(kept, root, day, run_time, written, records_per_file), 0
+    if observed(rejects) != 0 or has_run(gated.sparkSession, quarantine, day, run_time):
+        failed = write_run(rejected(gated).observe(stored, F.count(F.lit(1)).alias("n")), quarantine, day, run_time, stored)
+    return RunResult(skipped=False, success=success, failed=failed)
+
+
+def _run_time(now: datetime) -> str:
+    return now.astimezone(ZoneInfo(ZONE)).strftime("%H-%M")

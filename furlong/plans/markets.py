@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from furlong.functions.dates import starts_within_day
-from furlong.functions.gate import accepted, gate
+from furlong.functions.gate import accepted, gate, is_object, passes
 from furlong.functions.predicates import has_text, wanted_market
 from furlong.operators.keyed import latest_snapshot, top_per_key
 from furlong.schemas import BOOK, BOOK_PATHS, CATALOGUE, CATALOGUE_PATHS
@@ -18,24 +18,24 @@ def _of(path: str) -> Column:
 
 
 def wanted_records(items: DataFrame) -> DataFrame:
-    """Records of the markets to keep. Unreadable records stay, so that the gate reports them."""
+    """Records of the markets to keep. Unreadable ones and those that are no object stay, so that the gate reports them."""
     wanted = wanted_market(
         _of("$.eventType.id"), _of("$.event.countryCode"), _of("$.description.marketType")
     )
-    return items.where(F.col("record").isNull() | wanted)
+    return items.where(~F.expr(is_object("record")) | wanted)
 
 
-def records_of_day(items: DataFrame, day: Column) -> DataFrame:
-    """Records whose market starts inside the local race day; unreadable records stay."""
-    return items.where(F.col("record").isNull() | starts_within_day(_of("$.marketStartTime"), day))
+def of_day(gated: DataFrame, day: Column) -> DataFrame:
+    """Gated markets without the accepted ones that start outside the local race day; rejects stay.
+
+    After the gate, so that a start time of a wrong type is a reject and does not vanish.
+    """
+    return gated.where(~passes() | F.coalesce(starts_within_day(F.col("market_start_time"), day), F.lit(False)))
 
 
-def gated_catalogue(responses: DataFrame, keep: tuple[str, ...] = (), day: Column | None = None) -> DataFrame:
+def gated_catalogue(responses: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Catalogue columns and gate result of each wanted market of the responses."""
-    items = wanted_records(records(responses, keep))
-    if day is not None:
-        items = records_of_day(items, day)
-    return gate(items, CATALOGUE, CATALOGUE_PATHS, keep=keep)
+    return gate(wanted_records(records(responses, keep)), CATALOGUE, CATALOGUE_PATHS, keep=keep)
 
 
 def gated_book(responses: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -47,15 +47,17 @@ def catalogue(responses: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return accepted(gated_catalogue(responses, keep))
 
 
-def market_ids(catalogue: DataFrame) -> DataFrame:
-    """Distinct ids of a catalogue, empty ones left out."""
-    return catalogue.where(has_text(F.col("market_id"))).select("market_id").distinct()
+def market_ids(catalogue: DataFrame, *day: str) -> DataFrame:
+    """Distinct ids of a catalogue, empty ones left out; per day, if the day's column is named."""
+    return catalogue.where(has_text(F.col("market_id"))).select("market_id", *day).distinct()
 
 
 def books_of(books: DataFrame, catalogue: DataFrame) -> DataFrame:
-    """Book rows of the catalogue's markets."""
-    ids = market_ids(catalogue)
-    return books.join(ids, books["marketId"] == ids["market_id"], "left_semi")
+    """Book rows of the catalogue's markets. Books that carry their ``extracted_date`` belong to the catalogue of that day."""
+    day = [c for c in ("extracted_date",) if c in books.columns]
+    ids = market_ids(catalogue, *day)
+    matches = [books["marketId"] == ids["market_id"], *(books[c] == ids[c] for c in day)]
+    return books.join(ids, matches, "left_semi")
 
 
 def book(responses: DataFrame, catalogue: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -124,9 +125,6 @@ def book(t: Inputs):
     return markets.books_of(all_books(t), catalogue(t))
 
 
-# ---------------------------------------------------------------- whole jobs
-add("catalogue_bronze", f"{CAT_SPEC} arrival:l", lambda t: counted(catalogue(t)), f"SELECT *, {_N} FROM m_catalogue")
-add("book_bronze", f"{BOOK_SPEC} arrival:l", lambda t: counted(book(t)), f"SELECT *, {_N} FROM m_book")
 
 # ---------------------------------------------------------------- sources
 add("s6_catalogue_records", f"{RUN_SPEC} arrival:l market_id is_json:b",
@@ -146,6 +144,18 @@ def written_catalogue(t: Inputs, records_per_file: int | None = None) -> str:
     return root
 
 
+def written_book(t: Inputs) -> str:
+    """Root folder of the books of the markets in the stored catalogue, written as Bronze."""
+    stored = bronze.read_ndjson(t.spark, written_catalogue(t), CATALOGUE)
+    root = f"{t.scratch()}/book"
+    bronze.write_ndjson(markets.books_of(all_books(t), stored).drop("arrival"), root, many_days=True)
+    return root
+
+
+# Whole jobs: gated, written, and read back from the folder.
+add("catalogue_bronze", CAT_SPEC, lambda t: counted(bronze.read_ndjson(t.spark, written_catalogue(t), CATALOGUE)), f"SELECT *, {_N} FROM m_catalogue")
+add("book_bronze", BOOK_SPEC, lambda t: counted(bronze.read_ndjson(t.spark, written_book(t), BOOK)), f"SELECT *, {_N} FROM m_book")
+
 add("s1_scan_of_a_day", CAT_SPEC,
     lambda t: counted(bronze.read_ndjson(t.spark, written_catalogue(t), CATALOGUE, "2024-01-15")),
     f"SELECT *, {_N} FROM m_catalogue WHERE extracted_date = DATE '2024-01-15'")
@@ -288,6 +298,14 @@ def landed(t: Inputs, name: str, columns: list[str]) -> tuple[str, T.StructType]
     return folder, df.schema
 
 
+def in_slices(df, column: str, n: int = 3) -> list:
+    """The rows in n parts by ranges of a date or number column, which arrive one after another."""
+    low, high = df.agg(F.min(column), F.max(column)).first()
+    cuts = [low + (high - low) * k // n for k in range(1, n)]
+    edges = [F.lit(True), *(F.col(column) > c for c in cuts)]
+    return [df.where(edges[k] & (~edges[k + 1] if k + 1 < n else F.lit(True))) for k in range(n)]
+
+
 def streamed_bronze(t: Inputs):
     """Bronze files picked up as a stream into a parquet table."""
     root = written_catalogue(t)
@@ -298,24 +316,29 @@ def streamed_bronze(t: Inputs):
 
 
 def streamed_ids(t: Inputs):
-    folder, schema = landed(t, "book_raw", ["extracted_date", "run_time", "arrival"])
-    out = t.scratch()
-    # Two snapshots per market share the market number, arrival div 2 up to the factor.
-    stream = files.read_new(t.spark, folder, schema, files_per_batch=2).select(
-        F.concat(F.lit("1."), F.floor((F.col("arrival") - 1) / 2).cast("string")).alias("market_id"))
-    files.ingest(files.distinct_keys(stream, ["market_id"]), f"{out}/table", f"{out}/checkpoint").awaitTermination()
-    return t.spark.read.schema("market_id string").parquet(f"{out}/table")
+    """Markets per day as a stream; a day leaves the state some time after it."""
+    folder, out = f"{t.scratch()}/landed", t.scratch()
+    rows = t("book_raw").select("extracted_date", "arrival")
+    for part in in_slices(rows, "extracted_date"):
+        part.write.mode("append").json(folder)
+        # Two snapshots per market share the market number, arrival div 2 up to the factor.
+        stream = files.read_new(t.spark, folder, rows.schema).select(
+            F.concat(F.lit("1."), F.floor((F.col("arrival") - 1) / 2).cast("string")).alias("market_id"), F.col("extracted_date").cast("timestamp").alias("day"))
+        files.ingest(files.distinct_keys(stream, ["day", "market_id"], "day", "15 days"), f"{out}/table", f"{out}/checkpoint").awaitTermination()
+    return t.spark.read.schema("market_id string, day timestamp").parquet(f"{out}/table")
 
 
 def streamed_races(t: Inputs):
-    """Race rows offered twice as a stream of files to the keyed table."""
+    """Race rows offered twice as a stream of files to the keyed table, in order of arrival.
+
+    Each slice is a batch, or several; the first one that holds an id stores it, so the second offer adds nothing.
+    """
     folder, out = f"{t.scratch()}/landed", t.scratch()
     offered = race_rows(t).drop("record_created_date", "extracted_at")
-    # One file, so that one batch holds all arrivals and the first one wins as in the batch job.
-    for _ in range(2):
-        offered.write.mode("append").json(folder)
-    stream = files.read_new(t.spark, folder, offered.schema)
-    files.insert_new(stream, f"{out}/table", "race_id", ["arrival"], f"{out}/checkpoint", "meeting_date").awaitTermination()
+    for part in (*in_slices(offered, "arrival"), offered):
+        part.write.mode("append").json(folder)
+        stream = files.read_new(t.spark, folder, offered.schema)
+        files.insert_new(stream, f"{out}/table", "race_id", ["arrival"], f"{out}/checkpoint", "meeting_date").awaitTermination()
     return read_keyed(t.spark, f"{out}/table", offered.schema)
 
 
@@ -332,27 +355,55 @@ def streamed_gate(t: Inputs):
 
 for _key in ("u2_incremental_ingest", "s18_incremental_ingest"):
     add(_key, CAT_SPEC, streamed_bronze, f"SELECT *, {_N} FROM m_catalogue")
-add("u3_stream_distinct", "market_id", streamed_ids, "SELECT DISTINCT '1.' || event_id AS market_id FROM events")
+add("u3_stream_distinct", "market_id day:d", streamed_ids, "SELECT DISTINCT '1.' || event_id AS market_id, CAST(ts AS DATE) AS day FROM events")
 add("u4_stream_insert_or_ignore", f"{RACE_ROW} arrival:l", streamed_races, "SELECT * FROM m_history_rows")
 add("u5_stream_gate", "arrival:l passes:b", streamed_gate,
     f"SELECT arrival, ({_cat_ok}) AS passes FROM m_cat_items UNION ALL SELECT arrival, FALSE FROM m_cat_unreadable")
 
 
 # ---------------------------------------------------------------- the run
-def bronze_day(t: Inputs):
-    """A run of both feeds for one day, then the same run again: the second one is skipped."""
+def bronze_days(t: Inputs, plan: list[tuple[str, bool]]):
+    """Runs of both feeds, each at half past one UTC of its day, as (day, forced): what they report and what is stored.
+
+    ``failed`` is as reported by the run that wrote last, ``stored`` and ``quarantined`` are counted in the folders.
+    """
     base = t.scratch()
     paths = bronze_run.BronzePaths(f"{base}/catalogue", f"{base}/book", f"{base}/quarantine")
-    stamp = datetime(2024, 1, 15, 1, 30, tzinfo=timezone.utc)
-    for _ in range(2):
-        bronze_run.run("all", t("catalogue_raw"), t("book_raw"), paths, "2024-01-15", stamp)
-    stored = bronze.read_ndjson(t.spark, paths.catalogue, CATALOGUE).groupBy("extracted_date", "run_time").agg(F.count(F.lit(1)).alias("n"))
-    books = bronze.read_ndjson(t.spark, paths.book, BOOK).groupBy("extracted_date", "run_time").agg(F.count(F.lit(1)).alias("n"))
-    return stored.withColumn("feed", F.lit("catalogue")).unionByName(books.withColumn("feed", F.lit("book")))
-
-
-_DAY = """market_start_time BETWEEN '2024-01-14T13:00:00.000Z' AND '2024-01-15T12:59:59.000Z'"""
-add("bronze_run_of_a_day", f"feed {RUN_SPEC} n:l", bronze_day,
-    f"""SELECT 'catalogue' AS feed, DATE '2024-01-15' AS extracted_date, '12-30' AS run_time, COUNT(*) AS n FROM m_catalogue WHERE {_DAY}
-        UNION ALL SELECT 'book', DATE '2024-01-15', '12-30', COUNT(*) FROM m_book_all
-        WHERE marketId IN (SELECT market_id FROM m_catalogue WHERE {_DAY})""")
+    reported = {}
+    for day, forced in plan:
+        now = datetime.fromisoformat(f"{day}T01:30:00+00:00")
+        done = bronze_run.run("all", t("catalogue_raw"), t("book_raw"), paths, day, now, overwrite=forced)
+        if not any(r.skipped for r in done.values()):
+            reported[day] = bronze_run.results_table(t.spark, done, day, now)
+
+    def sizes(folder: str, name: str):
+        per_feed = [
+            t.spark.read.schema("extracted_date date, run_time string").option("basePath", f"{folder}{feed}").json(f"{folder}{feed}").withColumn("feed", F.lit(feed))
+            for feed in ("catalogue", "book")
+        ]
+        return per_feed[0].unionByName(per_feed[1]).groupBy("feed", *RUN).agg(F.count(F.lit(1)).alias(name))
+
+    results = reduce(lambda a, b: a.unionByName(b), reported.values())
+    on = ["feed", *RUN]
+    return results.join(sizes(f"{base}/", "stored"), on, "full").join(sizes(f"{paths.quarantine}/", "quarantined"), on, "full").fillna(0, ["stored", "quarantined"])
+
+
+def _days_sql(days: list[str]) -> str:
+    """What the runs of the days must report and store."""
+    parts = []
+    for day in days:
+        start = (datetime.fromisoformat(day) - timedelta(days=1)).strftime("%Y-%m-%d")
+        cat = f"FROM m_catalogue WHERE extracted_date = DATE '{day}' AND market_start_time BETWEEN '{start}T13:00:00.000Z' AND '{day}T12:59:59.999Z'"
+        good_books = f"FROM m_book_all WHERE extracted_date = DATE '{day}' AND marketId IN (SELECT market_id {cat})"
+        bad_books = f"FROM m_book_items WHERE extracted_date = DATE '{day}' AND NOT ({_book_ok})"
+        for feed, good, bad in (("catalogue", cat, f"FROM m_cat_rejected WHERE extracted_date = DATE '{day}'"), ("book", good_books, bad_books)):
+            parts.append(f"SELECT '{feed}' AS feed, DATE '{day}' AS extracted_date, '12-30' AS run_time, (SELECT COUNT(*) {good}) AS n, (SELECT COUNT(*) {bad}) AS k")
+    return f"SELECT feed, extracted_date, run_time, n AS success, k AS failed, n AS stored, k AS quarantined FROM ({' UNION ALL '.join(parts)})"
+
+
+DAY_SPEC = f"feed {RUN_SPEC} success:l failed:l stored:l quarantined:l"
+# A run, then the same again: the second one is skipped.
+add("bronze_run_of_a_day", DAY_SPEC, lambda t: bronze_days(t, [("2024-01-15", False), ("2024-01-15", False)]), _days_sql(["2024-01-15"]))
+# Two days, and the first once more, forced in the same minute: it replaces its own rows and no others.
+add("bronze_run_of_two_days", DAY_SPEC, lambda t: bronze_days(t, [("2024-01-15", False), ("2024-01-16", False), ("2024-01-15", True)]),
+    _days_sql(["2024-01-15", "2024-01-16"]))

@@ -48,6 +48,9 @@ add("p12_runner_columns", RUNNER_COLUMNS, lambda t: racing.runners(t("silver_run
 add("p13_gold_columns", GOLD, gold, "SELECT * FROM m_gold")
 add("j1_race_runners", GOLD, gold, "SELECT * FROM m_gold")
 add("race_runners_gold", GOLD, gold, "SELECT * FROM m_gold")
+# The same join without the fan-out: equal race rows are a count.
+add("race_runners_counted", f"{GOLD} copies:l", lambda t: racing.race_runners_counted(*(f(t("silver_runners")) for f in (racing.races, racing.runners))),
+    "SELECT *, COUNT(*) AS copies FROM m_gold GROUP BY ALL")
 add("f1_not_scratched", "horse_name barrier:l",
     lambda t: t("silver_runners").where(not_scratched(F.col("scratched"))),
     "SELECT horse_name, barrier FROM silver_runners WHERE scratched = FALSE")

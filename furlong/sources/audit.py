@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from furlong.functions.gate import passes
@@ -13,3 +14,14 @@ def run_counts(gated: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     return gated.groupBy(*keys).agg(
         F.count_if(passes()).alias("success"), F.count_if(~passes()).alias("failed")
     )
+
+
+def observed(counted: Observation) -> int | None:
+    """The number observed as ``n``; None where the planner found the branch empty and measured nothing."""
+    try:
+        return counted.get["n"]
+    except Py4JJavaError as e:
+        # An observation without a value is a row without a schema, which the conversion to Python asserts.
+        if e.java_exception.getClass().getName() != "java.lang.AssertionError":
+            raise
+        return None

@@ -9,24 +9,30 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from furlong.functions.gate import accepted, gate, rejected
+from furlong.functions.gate import accepted, gate, passes, rejected
+from furlong.sources.audit import observed
 from furlong.sources.keyed import insert_or_ignore
 from furlong.sources.landing import records
 
 
+# Size of the files that one batch takes, about; a backlog is worked off in batches of it.
+BATCH_BYTES = 8 << 30
+
+
 def read_new(
     spark: SparkSession, root: str, schema: T.StructType, files_per_batch: int | None = None
 ) -> DataFrame:
-    """A folder tree of NDJSON files as a stream; partition folders become columns."""
-    reader = spark.readStream.schema(schema)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.json(root)
+    """A folder tree of NDJSON files as a stream; partition folders become columns.
+
+    A batch takes about ``BATCH_BYTES``, or a number of files if that is given.
+    """
+    bound = ("maxFilesPerTrigger", files_per_batch) if files_per_batch else ("maxBytesPerTrigger", BATCH_BYTES)
+    return spark.readStream.schema(schema).option(*bound).json(root)
 
 
 def ingest(stream: DataFrame, table: str, checkpoint: str, partition_by: tuple[str, ...] = ()) -> StreamingQuery:
@@ -55,16 +61,16 @@ def gate_to(
 ) -> StreamingQuery:
     """Gate landed responses: accepted rows to one folder, rejected ones with their cause to another.
 
-    A batch that is run again after a failure replaces its own folder, so no row shows up twice.
+    A batch that is run again after a failure replaces its own folder, so no row shows up twice. A batch is kept nowhere
+    between the writes: the first one counts the rejects, and only if there are some a second pass stores them.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        gated = gate(records(batch, keep), schema, paths, keep=keep).persist()
-        try:
-            accepted(gated).write.mode("overwrite").json(f"{table}/batch_id={batch_id}", ignoreNullFields=False)
+        gated, rejects = gate(records(batch, keep), schema, paths, keep=keep), Observation()
+        seen = gated.observe(rejects, F.count_if(~passes()).alias("n"))
+        accepted(seen).write.mode("overwrite").json(f"{table}/batch_id={batch_id}", ignoreNullFields=False)
+        if observed(rejects) != 0:
             rejected(gated, keep).write.mode("overwrite").json(f"{quarantine}/batch_id={batch_id}")
-        finally:
-            gated.unpersist()
 
     return _for_each_batch(stream, write, checkpoint)
 
@@ -73,7 +79,10 @@ def insert_new(
     stream: DataFrame, table: str, key: str, order: list[str], checkpoint: str,
     partition: str | None = None, drop: tuple[str, ...] = (),
 ) -> StreamingQuery:
-    """Insert-or-ignore per batch. A batch that is run again adds nothing."""
+    """Insert-or-ignore per batch. A batch that is run again adds nothing.
+
+    Of the rows with one key the one in the earliest batch is stored, and within a batch the first in ``order``.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         insert_or_ignore(batch, table, key, [F.asc(c) for c in order], drop, partition)

@@ -67,8 +67,9 @@ def test_an_empty_file_counts_as_there_and_reads_as_no_rows(spark, tmp_path):
     assert bronze.read_ndjson(spark, str(tmp_path / "b"), BOOK, DAY).count() == 0
 
 
-def responses(spark, *objects):
-    return spark.createDataFrame([(json.dumps(list(objects)),)], "body string")
+def responses(spark, *objects, day=DAY):
+    return spark.createDataFrame([(json.dumps(list(objects)), day)], "body string, extracted_date string").withColumn(
+        "extracted_date", F.col("extracted_date").cast("date"))
 
 
 def book(i, **changes):
@@ -94,6 +95,30 @@ def test_run_all(spark, paths):
     assert {r.run_time for r in stored.collect()} == {"07-30", "23-30"}
 
 
+def test_a_run_keeps_to_its_day(spark, paths):
+    other = "2026-05-02"
+    c = responses(spark, market(), market(marketId="1.3", marketStartTime=5), "no market").union(responses(spark, market(), market(marketId=8), day=other))
+    b = responses(spark, book("1.1")).union(responses(spark, book("1.1", status="CLOSED"), book("1.1", version="x"), day=other))
+    # A start time of a wrong type and an unreadable record are rejects of their day.
+    assert bronze_run.run("all", c, b, paths, DAY, MORNING) == {"catalogue": RunResult(False, 1, 2), "book": RunResult(False, 1, 0)}
+    assert [r.status for r in bronze.read_ndjson(spark, paths.book, BOOK).collect()] == ["OPEN"]
+
+
+def test_a_forced_run_of_the_same_minute_replaces(spark, paths):
+    c, b = responses(spark, market(), market(marketId=7)), responses(spark, book("1.1"), book("1.1", version="x"))
+    first = bronze_run.run("all", c, b, paths, DAY, MORNING)
+    assert bronze_run.run("all", c, b, paths, DAY, MORNING, overwrite=True) == first
+    assert bronze.read_ndjson(spark, paths.catalogue, CATALOGUE).count() == 1 and bronze.read_ndjson(spark, paths.book, BOOK).count() == 1
+    assert spark.read.json(f"{paths.quarantine}/book").count() == 1
+    # Without rows this time: nothing of the run before is left.
+    assert bronze_run.run("catalogue", responses(spark, []), None, paths, DAY, MORNING, overwrite=True) == {"catalogue": RunResult(False, 0, 1)}
+    assert bronze_run.run("catalogue", responses(spark), None, paths, DAY, MORNING, overwrite=True) == {"catalogue": RunResult(False, 0, 0)}
+    assert bronze.read_ndjson(spark, paths.catalogue, CATALOGUE).count() == 0
+    assert spark.read.schema("record string").json(f"{paths.quarantine}/catalogue").count() == 0
+    assert [tuple(r)[:1] + tuple(r)[3:] for r in bronze_run.results_table(spark, first, DAY, MORNING).collect()] == [
+        ("catalogue", False, 1, 1), ("book", False, 1, 1)]
+
+
 def test_no_markets_no_book(spark, paths):
     got = bronze_run.run("all", responses(spark), responses(spark, book("1.1")), paths, DAY, MORNING)
     assert got == {"catalogue": RunResult(False, 0, 0)}
@@ -163,6 +188,16 @@ def test_distinct_keys_across_batches(spark, tmp_path):
     assert rows(spark.read.parquet(out), "k") == [("a",), ("b1",), ("b2",)]
 
 
+def test_first_writer_over_batches(spark, tmp_path):
+    source, table = tmp_path / "in", str(tmp_path / "table")
+    for n, objects in enumerate(([("a", 5), ("a", 4), ("b", 9)], [("a", 1), ("c", 7)], [("c", 2), ("b", 3), ("d", 8)])):
+        land(source, f"{n}.json", *[{"k": k, "at": at} for k, at in objects])
+        stream = files.read_new(spark, str(source), spark.sql("SELECT '' AS k, 0 AS at").schema)
+        files.insert_new(stream, table, "k", ["at"], str(tmp_path / "state")).awaitTermination()
+    # The earliest batch has the key; in a batch the lowest `at` does.
+    assert sorted(map(tuple, spark.read.parquet(table).select("k", "at").collect())) == [("a", 4), ("b", 9), ("c", 7), ("d", 8)]
+
+
 def test_stream_gate_and_insert(spark, tmp_path):
     source, state = tmp_path / "in", str(tmp_path / "state")
     out, bad, table = str(tmp_path / "ok"), str(tmp_path / "bad"), str(tmp_path / "table")
