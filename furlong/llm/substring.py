@@ -181,9 +181,14 @@ def _low(x: Column) -> Column:
     return x.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
 
 
+def _own(text: str) -> Column:
+    """The id; a row without one takes a hash of its text, so that many of them do not share an id."""
+    return F.coalesce("doc_id", F.xxhash64(F.lit("no id"), F.col(text)))
+
+
 def _rows(docs: DataFrame, text: str) -> DataFrame:
     """A row is known by (d, t): its id and 31 bits of its text's hash. Equal rows are treated equally."""
-    return docs.select("doc_id", F.coalesce("doc_id", F.lit(0)).alias("d"), _low(F.xxhash64(text)).alias("t"), F.col(text).alias("text"))
+    return docs.select("doc_id", _own(text).alias("d"), _low(F.xxhash64(text)).alias("t"), F.col(text).alias("text"))
 
 
 def _found(rows: DataFrame) -> DataFrame:
@@ -307,7 +312,7 @@ def remove_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: s
     """
     rows = _rows(docs, text)
     spans = repeated_spans(rows, hot)
-    own = docs.select(*(F.col(c).alias(f"_{i}") for i, c in enumerate(keep)), F.coalesce("doc_id", F.lit(0)).alias("d"), _low(F.xxhash64(text)).alias("t"), F.col(text).alias("text"))
+    own = docs.select(*(F.col(c).alias(f"_{i}") for i, c in enumerate(keep)), _own(text).alias("d"), _low(F.xxhash64(text)).alias("t"), F.col(text).alias("text"))
     joined = own.join(spans, ["d", "t"], "left").select(*(f"_{i}" for i in range(len(keep))), "text", "spans")
     at = len(keep)
     fields = [*(docs.schema[c].simpleString().split(":", 1) for c in keep)]
