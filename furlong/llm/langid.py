@@ -16,11 +16,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from furlong.llm.common import BLOCK_BYTES, mix, sampled, text_bytes
+from furlong.llm.common import BLOCK_BYTES, mix, sampled, saved, text_bytes
 
 GRAM, HASHES, ROW_BITS = 4, 3, 20
 TRAIN_ROWS = 20_000  # bound of the sample of labelled rows that the filters are filled from
-MAX_LANGUAGES, MAX_GRAMS = 64, 1 << 16  # bits of a row; grams of a language
+MAX_LANGUAGES, MAX_GRAMS = 64, 1 << 16  # bits of a row; most frequent grams of a language, those of equal count all or none
 MIN_COUNT, MIN_SHARE = 3, 0.1  # a gram belongs to a language if it is no rarer there than this share of its best rate
 UNKNOWN = "und"
 
@@ -103,13 +103,20 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Filter
                 pair, n = np.unique(own[own >= 0].astype(np.int64) << 32 | codes[own >= 0], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array((pair >> 32).astype(np.int32)), pa.array(pair & 0xFFFFFFFF), pa.array(n)], names=["l", "gram", "n"])
 
-    counted = picked.mapInArrow(count, "l int, gram long, n long").groupBy("l", "gram").agg(F.sum("n").alias("n"))
-    rate = F.col("n") / F.sum("n").over(Window.partitionBy("l"))
-    kept = counted.withColumn("rate", rate).withColumn("best", F.max("rate").over(Window.partitionBy("gram")))
-    kept = kept.where((F.col("n") >= MIN_COUNT) & (F.col("rate") >= MIN_SHARE * F.col("best")))
-    kept = kept.withColumn("k", F.row_number().over(Window.partitionBy("l").orderBy(F.desc("n"), "gram"))).where(F.col("k") <= MAX_GRAMS)
+    counted = saved(picked.mapInArrow(count, "l int, gram long, n long").groupBy("l", "gram").agg(F.sum("n").alias("n")))
+    totals = counted.groupBy("l").agg(F.sum("n").alias("total"))  # a row per language, MAX_LANGUAGES at most
+    kept = counted.join(F.broadcast(totals), "l").withColumn("rate", F.col("n") / F.col("total"))
+    kept = kept.withColumn("best", F.max("rate").over(Window.partitionBy("gram")))
+    kept = kept.where((F.col("n") >= MIN_COUNT) & (F.col("rate") >= MIN_SHARE * F.col("best"))).select("l", "gram", "n")
+    # The least count that a language's grams need, from how many grams have each count, so that no task ranks a language.
+    least, room = dict.fromkeys(number.values(), MIN_COUNT), dict.fromkeys(number.values(), MAX_GRAMS)
+    for r in kept.groupBy("l", "n").agg(F.count("*").alias("k")).orderBy("l", F.desc("n")).toLocalIterator():
+        room[r["l"]] -= r["k"]
+        if room[r["l"]] < 0:
+            least[r["l"]] = max(least[r["l"]], r["n"] + 1)
+    floor = F.element_at(F.create_map(*(F.lit(x) for pair in least.items() for x in pair)), F.col("l"))
     grams: dict[int, list[int]] = {i: [] for i in number.values()}
-    for r in kept.select("l", "gram").collect():
+    for r in kept.where(F.col("n") >= floor).select("l", "gram").orderBy("l", "gram").toLocalIterator():
         grams[r["l"]].append(r["gram"])
     return Filters.of({lang: np.array(grams[i], np.uint64) for lang, i in number.items()})
 
