@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from furlong.llm import bpe
+from furlong.llm.common import saved
 
 BUCKET = 1024
 
@@ -26,9 +27,10 @@ def suffix_sums(histogram: DataFrame) -> DataFrame:
     truncated_total: tokens left if every document is cut to L; share_up_to: share of documents that fit whole.
 
     Sums run inside buckets of BUCKET lengths and are shifted by the sums of the later buckets, so no window holds more
-    than BUCKET rows; the buckets number at most the longest length / BUCKET.
+    than BUCKET rows; the buckets number at most the longest length / BUCKET. The histogram is stored first, since both
+    levels of sums read it: texts are encoded once.
     """
-    h = histogram.withColumns({"bucket": F.floor(F.col("n_tokens") / BUCKET), "n_total": F.col("n_tokens") * F.col("n_docs")})
+    h = saved(histogram).withColumns({"bucket": F.floor(F.col("n_tokens") / BUCKET), "n_total": F.col("n_tokens") * F.col("n_docs")})
     per = h.groupBy("bucket").agg(F.sum("n_docs").alias("b_docs"), F.sum("n_total").alias("b_total"))
     later = Window.partitionBy(F.lit(0)).orderBy("bucket").rowsBetween(1, Window.unboundedFollowing)
     everything = Window.partitionBy(F.lit(0))
