@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from furlong.llm.common import text_bytes
 
-LEAF_CHARS, LEAF_BYTES, KNOWN, ROWS = 16384, 32, 1 << 17, 512
+LEAF_CHARS, LEAF_BYTES, KNOWN, ROWS = 16384, 32, 1 << 19, 512
 _NONE = 1 << 30
 _UNSAFE, _CUT = re.compile(r" (?:\s|\Z)"), re.compile(r" (?=\S)")
 
@@ -183,7 +183,7 @@ class Bpe:
     def _learn(self, chunks: list[str | tuple[str]]) -> None:
         """Ids of texts that begin and end where a match must: a str has a space before it, a tuple has not."""
         # Letters alone are one match; beyond Latin, the pattern's own tables decide what a letter is.
-        plain = [isinstance(c, str) and c.isalpha() and max(c) < "\u0250" for c in chunks]
+        plain = [isinstance(c, str) and c.isalpha() and (c.isascii() or max(c) < "\u0250") for c in chunks]
         found = [(" " + c,) if one else self.find(" " + c if isinstance(c, str) else c[0]) for c, one in zip(chunks, plain, strict=True)]
         ids = self._pieces(list(set(chain.from_iterable(found))))
         rows = [ids[f[0]] if len(f) == 1 else [t for m in f for t in ids[m]] for f in found]
