@@ -232,6 +232,41 @@ def test_leaks(spark):
     assert decontamination.leaks(frame, benchmark.limit(0)).isEmpty() and decontamination.leaks(frame.limit(0), benchmark).isEmpty()
 
 
+def brute_force(texts, items):
+    """Every passage of every text against every item by the words alone."""
+    one = lambda t: next(decontamination._blocks(decontamination.pa.array([t])))[2].hash.copy()
+    found = set()
+    for i, item in enumerate(items):
+        words = one(item)
+        for d, w in enumerate(one(t) for t in texts):
+            near = [w[max(0, a - len(words)) : a + 32 + len(words)] for a in range(0, max(1, len(w) - 16), 16)]
+            share = decontamination.common_length([words] * len(near), near) / len(words)
+            answer = decontamination.common_length([words[-8:]] * len(near), near) / len(words[-8:])
+            if np.any((share >= 0.7) & (answer >= 0.5) | (share >= 0.55) & (answer >= 0.8)):
+                found.add((d, i))
+    return found
+
+
+def planted(rng, vocabulary, sizes, edits, length):
+    """Texts of which each holds an item with a share of its words changed, and the items."""
+    some = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    items = [some(n) for n in sizes]
+    texts = [some(length) + [rng.choice(vocabulary) if rng.random() < edit else w for w in item] + some(length) for edit in edits for item in items]
+    return [" ".join(t) for t in texts], [" ".join(t) for t in items]
+
+
+def found_leaks(spark, texts, items):
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {(r.doc_id, r.item_id) for r in decontamination.leaks(frame, spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()}
+
+
+def test_leaks_of_common_words(spark):
+    # Every word stands in nearly every document.
+    texts, items = planted(random.Random(2), WORDS, [30, 24, 40, 30, 70], [0, 0.1, 0.2, 0.3, 0.4, 1, 1], 300)
+    want = brute_force(texts, items)
+    assert {(k, k) for k in range(5)} <= want and found_leaks(spark, texts, items) == want
+
+
 def test_languages(spark, docs, empty):
     rng = random.Random(4)
     lang = {"en": ["the", "thing", "other", "with"], "de": ["nicht", "und", "schön", "zeit"]}
