@@ -267,6 +267,14 @@ def test_leaks_of_common_words(spark):
     assert {(k, k) for k in range(5)} <= want and found_leaks(spark, texts, items) == want
 
 
+@pytest.mark.parametrize("size", [14, 40])
+def test_leaks_of_edited_items(spark, size):
+    rare = [f"{a}{b}{c}" for a in WORDS for b in WORDS for c in ("", "x")]
+    texts, items = planted(random.Random(size), rare, [size] * 40, [0, 0.15, 0.28], 60)
+    want = brute_force(texts, items)
+    assert len(want) > 90 and found_leaks(spark, texts, items) == want
+
+
 def test_languages(spark, docs, empty):
     rng = random.Random(4)
     lang = {"en": ["the", "thing", "other", "with"], "de": ["nicht", "und", "schön", "zeit"]}
