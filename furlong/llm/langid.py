@@ -1,12 +1,13 @@
 """Language ID with bit-sliced Bloom filters of character n-grams.
 
-One table serves all languages: row r holds a bit per language, so the AND of a gram's rows is the set of languages
+One table serves all languages: row r holds a bit per language, in as many words as they take, so the AND of a gram's rows is the set of languages
 whose filter has the gram. The bits are counted per document and language and corrected for each filter's rate of
 false positives; the highest corrected count decides.
 """
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -16,11 +17,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from furlong.llm.common import BLOCK_BYTES, mix, sampled, saved, text_bytes
+from furlong.llm.common import BLOCK_BYTES, mix, saved, text_bytes
 
 GRAM, HASHES, ROW_BITS = 4, 3, 20
-TRAIN_ROWS = 20_000  # bound of the sample of labelled rows that the filters are filled from
-MAX_LANGUAGES, MAX_GRAMS = 64, 1 << 16  # bits of a row; most frequent grams of a language, those of equal count all or none
+TRAIN_ROWS, LEAST_ROWS = 20_000, 1000  # labelled rows that the filters are filled from; of each language as many at least, or all it has
+MAX_GRAMS = 1 << 16  # most frequent grams of a language, those of equal count all or none
 MIN_COUNT, MIN_SHARE = 3, 0.1  # a gram belongs to a language if it is no rarer there than this share of its best rate
 UNKNOWN = "und"
 
@@ -32,28 +33,32 @@ _FOLD[97:123] = np.arange(97, 123)
 @dataclass
 class Filters:
     languages: list[str]
-    table: np.ndarray
+    table: np.ndarray  # words of bits x rows
     false_rate: np.ndarray
 
     @classmethod
     def of(cls, grams: dict[str, np.ndarray]) -> Filters:
-        kind = next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if len(grams) <= np.iinfo(t).bits)
-        table = np.zeros(1 << ROW_BITS, kind)
+        kind = next((t for t in (np.uint8, np.uint16, np.uint32) if len(grams) <= np.iinfo(t).bits), np.uint64)
+        bits = np.iinfo(kind).bits
+        table = np.zeros((max(1, -(-len(grams) // bits)), 1 << ROW_BITS), kind)
         for i, codes in enumerate(grams.values()):
             for rows in _rows(codes):
-                table[rows] |= kind(1 << i)
-        full = np.array([np.mean(table >> kind(i) & kind(1)) for i in range(len(grams))])
+                table[i // bits, rows] |= kind(1 << i % bits)
+        full = np.array([np.mean(table[i // bits] >> kind(i % bits) & kind(1)) for i in range(len(grams))])
         return cls(list(grams), table, full**HASHES)
 
     def counts(self, codes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """Corrected number of known grams by document and language."""
         first, *rest = _rows(codes)
-        sets = self.table[first]
-        for rows in rest:
-            sets &= self.table[rows]
         n, out = np.diff(bounds), np.zeros((len(bounds) - 1, len(self.languages)))
+        bits = np.iinfo(self.table.dtype).bits
         for i, rate in enumerate(self.false_rate):
-            seen = np.concatenate(([0], np.cumsum(sets >> sets.dtype.type(i) & sets.dtype.type(1), dtype=np.int64)))
+            if i % bits == 0:
+                word = self.table[i // bits]
+                sets = word[first]
+                for rows in rest:
+                    sets &= word[rows]
+            seen = np.concatenate(([0], np.cumsum(sets >> sets.dtype.type(i % bits) & sets.dtype.type(1), dtype=np.int64)))
             out[:, i] = np.maximum(0, (np.diff(seen[bounds]) - n * rate) / max(1e-9, 1 - rate))
         return out
 
@@ -84,15 +89,30 @@ def _grams(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         row = end
 
 
+def _quota(rows: list[int]) -> int:
+    """How many rows of a language may be taken: TRAIN_ROWS divided over the languages, what small ones leave going to the others."""
+    left, quota = TRAIN_ROWS, TRAIN_ROWS
+    for k, n in enumerate(sorted(rows)):
+        quota = left // (len(rows) - k)
+        if n > quota:
+            break
+        left -= n
+    return max(LEAST_ROWS, quota)
+
+
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Filters:
     """Filters from the texts with a language. Rows without either count for nothing; no rows give no languages."""
     labelled = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
-    # The most frequent languages, in an order of their own; there are as many bits.
-    common = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    number = {r["lang"]: i for i, r in enumerate(sorted(common, key=lambda r: (-r["count"], r["lang"])))}
+    size = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}  # a row per language
+    number = {lang: i for i, lang in enumerate(sorted(size, key=lambda k: (-size[k], k)))}
     if not number:
-        return Filters([], np.zeros(1 << ROW_BITS, np.uint8), np.zeros(0))
-    picked = sampled(labelled, TRAIN_ROWS, sum(r["count"] for r in common), "text")
+        return Filters([], np.zeros((1, 1 << ROW_BITS), np.uint8), np.zeros(0))
+    # Each language is sampled by itself, so that one does not shrink as the others grow; small ones are taken whole.
+    quota, picked = _quota(list(size.values())), labelled
+    large = {lang: int((1 << 30) * quota / n) for lang, n in size.items() if n > quota}
+    if large:
+        share = F.create_map(*(F.lit(x) for pair in large.items() for x in pair))
+        picked = labelled.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < F.coalesce(F.element_at(share, F.col("lang")), F.lit(1 << 30)))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -104,7 +124,7 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Filter
                 yield pa.RecordBatch.from_arrays([pa.array((pair >> 32).astype(np.int32)), pa.array(pair & 0xFFFFFFFF), pa.array(n)], names=["l", "gram", "n"])
 
     counted = saved(picked.mapInArrow(count, "l int, gram long, n long").groupBy("l", "gram").agg(F.sum("n").alias("n")))
-    totals = counted.groupBy("l").agg(F.sum("n").alias("total"))  # a row per language, MAX_LANGUAGES at most
+    totals = counted.groupBy("l").agg(F.sum("n").alias("total"))  # a row per language
     kept = counted.join(F.broadcast(totals), "l").withColumn("rate", F.col("n") / F.col("total"))
     kept = kept.withColumn("best", F.max("rate").over(Window.partitionBy("gram")))
     kept = kept.where((F.col("n") >= MIN_COUNT) & (F.col("rate") >= MIN_SHARE * F.col("best"))).select("l", "gram", "n")
@@ -115,7 +135,7 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Filter
         if room[r["l"]] < 0:
             least[r["l"]] = max(least[r["l"]], r["n"] + 1)
     floor = F.element_at(F.create_map(*(F.lit(x) for pair in least.items() for x in pair)), F.col("l"))
-    grams: dict[int, list[int]] = {i: [] for i in number.values()}
+    grams = {i: array("Q") for i in number.values()}
     for r in kept.where(F.col("n") >= floor).select("l", "gram").orderBy("l", "gram").toLocalIterator():
         grams[r["l"]].append(r["gram"])
     return Filters.of({lang: np.array(grams[i], np.uint64) for lang, i in number.items()})
@@ -128,7 +148,7 @@ def predict(docs: DataFrame, filters: Filters, keep: tuple[str, ...] = ("doc_id"
     the share of the text's grams that the winner's filter has. A null text or one without a letter is `und` with score
     0. A text whose grams no language knows, and ties, go to the language with more training rows, with score 0.5.
     """
-    model = docs.sparkSession.sparkContext.broadcast(filters)  # at most 8 MB, whatever the data
+    model = docs.sparkSession.sparkContext.broadcast(filters)  # at most 8 MB for each 64 languages, whatever the data
     at = len(keep)
     schema = ", ".join(f"_{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep)) + ", lang_pred string, score double, known double"
 

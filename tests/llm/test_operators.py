@@ -286,6 +286,17 @@ def test_languages(spark, docs, empty):
     assert {r.lang_pred for r in langid.predict(asked, langid.train(empty)).collect()} == {"und"}
 
 
+def test_rare_languages_are_learned(spark, monkeypatch):
+    monkeypatch.setattr(langid, "TRAIN_ROWS", 300)
+    rng, letters = random.Random(6), "abcdefghijklmnopqrstuvwxyz"
+    words = {f"l{k:02}": ["".join(rng.choice(letters) for _ in range(6)) for _ in range(12)] for k in range(70)}
+    say = lambda k: " ".join(rng.choice(words[k]) for _ in range(12))
+    rows = [(say(k), k) for i, k in enumerate(words) for _ in range(3000 if i == 0 else 9)]
+    filters = langid.train(spark.createDataFrame(rows, "text string, lang string"))
+    asked = spark.createDataFrame([(i, say(k)) for i, k in enumerate(words)], "doc_id long, text string")
+    assert [r.lang_pred for r in langid.predict(asked, filters).orderBy("doc_id").collect()] == list(words)
+
+
 def test_resampling_keeps_the_share(docs, corpus):
     got = resampling.resample(docs, docs.where("doc_id < 10")).collect()
     cut = sorted((r.key for r in got), reverse=True)[-(-3 * len(corpus) // 4) - 1]
