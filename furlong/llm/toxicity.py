@@ -5,7 +5,7 @@ insult with inserted or missing characters still matches. Words are read with a
 of letters at a word's beginning or end, its mark included, that mark toxic training texts. A word's feature for a landmark l is K(word, l) / K(l, l), with p one less than l's length; a sentence takes the highest
 of its words, Nystroem whitening turns the features into coordinates of the kernel's space, and a linear machine with
 squared hinge loss is fitted there. A document's score is a calibrated probability from the margins of its two worst
-sentences and the number of sentences with any match.
+sentences and the sum of what all sentences add to a margin without a match.
 
 K is zero unless the longest common subsequence has p letters. That is tested with bit-parallel arithmetic for all words
 at once, so the kernel itself runs on few pairs only.
@@ -29,9 +29,9 @@ DECAY, MIN_RUN, MAX_RUN, LANDMARKS, WIDTH = 0.35, 5, 9, 64, 24
 HEAD, TAIL = "\x02", "\x03"  # the marks
 TRAIN_ROWS = 1500  # bound of the sample of labelled documents of each class
 MIN_DOCS, THRESHOLD, CACHED = 4, 0.3, 1 << 18
-MIN_VALUE = 0.1  # features below it count as zero
 
 _SENTENCE = re.compile(r"[.!?\n]+(?:\s|$)")
+_FILLED = re.compile(r"[\W_]+|(.)(?=\1)")  # signs between letters, and letters that are doubled
 _SPACED = re.compile(r"(?<!\S)(?:\S[ \t]+){3,}\S(?!\S)")
 
 
@@ -77,8 +77,8 @@ class Landmarks:
     def vectors(self, words: list[str]) -> list[np.ndarray | None]:
         """Features of each word; none where all are zero. Long words count by overlapping parts."""
         parts, owner = [], []
-        for i, w in enumerate(words):
-            w = f"{HEAD}{w}{TAIL}"
+        # A word counts also without signs and doubled letters, so that insults filled with them keep their weight.
+        for i, w in ((i, f"{HEAD}{form}{TAIL}") for i, w in enumerate(words) for form in {w: 0, _FILLED.sub("", w): 0}):
             for a in range(0, max(1, len(w) - WIDTH // 2), WIDTH // 2):
                 parts.append(w[a : a + WIDTH])
                 owner.append(i)
@@ -93,7 +93,7 @@ class Landmarks:
             rows = rows[self._common(place[rows], mark) >= p]
             if len(rows):
                 values = kernel(codes[rows], lengths[rows], mark, p) / own
-                for r, value in zip(rows[values >= MIN_VALUE], values[values >= MIN_VALUE], strict=True):
+                for r, value in zip(rows, values, strict=True):
                     i = owner[r]
                     if out[i] is None:
                         out[i] = np.zeros(len(self.marks))
@@ -142,9 +142,9 @@ class Machine:
         return features @ self.weights + self.bias
 
     def summary(self, margins: np.ndarray) -> np.ndarray:
-        """What a document is judged by: its two highest margins and how many sentences matched."""
+        """What a document is judged by: its two highest margins and how much its sentences matched; faint matches add little."""
         top = np.sort(np.append(margins, [self.bias, self.bias]))
-        return np.array([top[-1], top[-2], np.log1p(len(margins)), 1.0])
+        return np.array([top[-1], top[-2], np.log1p(np.maximum(0, margins - self.bias).sum()), 1.0])
 
     def probability(self, margins: np.ndarray) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.summary(margins) @ self.calibration, -500, 500))))

@@ -320,6 +320,16 @@ def test_toxicity_on_held_out_rows(spark):
     assert np.mean([(a > b) + 0.5 * (a == b) for a in pos for b in neg]) > 0.75
 
 
+def test_filled_insults_keep_their_weight():
+    marks = toxicity.Landmarks([f"{toxicity.HEAD}{w}{toxicity.TAIL}" for w in ("idiot", "moron", "scum", "imbecile")])
+    forms = ["i.d.i.o.t", "m*o*r*o*n", "s.c.u.m", "i.m.b.e.c.i.l.e", "iiddiioott", "i-d-i-o-t!"]
+    assert all(v is not None and v.max() > 0.9 for v in marks.vectors(forms))
+    # Whatever has a common subsequence long enough has a value, however faint.
+    faint = marks.vectors(["ixdxixoxt", "id*ot", "mxoxrxoxn"])
+    assert all(v is not None and 0 < v.max() < 0.5 for v in faint)
+    assert marks.vectors(["harmless"]) == [None]
+
+
 def test_pipeline_stages_chain(spark):
     import corpus_pipeline
 
