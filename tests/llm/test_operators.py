@@ -275,6 +275,14 @@ def test_leaks_of_edited_items(spark, size):
     assert len(want) > 90 and found_leaks(spark, texts, items) == want
 
 
+def test_leaks_of_many_short_edited_items(spark):
+    rng = random.Random(3)
+    often = WORDS * 4 + [f"{a}{b}" for a in WORDS for b in WORDS[:12]]
+    texts, items = planted(rng, often, [14] * 250, [0.28], 40)
+    want = {(k, k) for k in range(250) if brute_force([texts[k]], [items[k]])}
+    assert len(want) > 60 and want <= found_leaks(spark, texts, items)
+
+
 def test_languages(spark, docs, empty):
     rng = random.Random(4)
     lang = {"en": ["the", "thing", "other", "with"], "de": ["nicht", "und", "schön", "zeit"]}
