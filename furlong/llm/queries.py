@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furlong.llm import bpe, decontamination, langid, resampling, rules, simhash, substring, token_counts, toxicity, url_filter
+from furlong.llm import bpe, decontamination, langid, periodic, resampling, rules, simhash, substring, token_counts, toxicity, url_filter
 from furlong.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,3 +120,19 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     crf = rules.train(resampling.labelled(docs, table(spark, sf_dir, "labels"), "quality", rules.TRAIN_ROWS))
     return rules.judge(docs, crf)
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", periodic.looped(F.col("doc_id"), F.col("text")).alias("text"))
+    done = periodic.find(docs)
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    # The longest run: by length, then smallest start, then smallest period.
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    found = done.withColumn("best", best)
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"), (-F.col("best.period")).alias("period"),
+        F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise(""), 256).alias("runs_sha256"),
+        F.sha2("collapsed_text", 256).alias("collapsed_sha256"),
+    )
