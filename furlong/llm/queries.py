@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furlong.llm import bpe, decontamination, langid, periodic, resampling, rules, simhash, substring, token_counts, toxicity, url_filter
+from furlong.llm import bpe, decontamination, langid, licenses, periodic, resampling, rules, simhash, substring, token_counts, toxicity, url_filter
 from furlong.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -136,3 +136,8 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise(""), 256).alias("runs_sha256"),
         F.sha2("collapsed_text", 256).alias("collapsed_sha256"),
     )
+
+
+@query
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
