@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furlong.llm import bpe, decontamination, langid, licenses, periodic, resampling, rules, simhash, substring, token_counts, toxicity, url_filter
+from furlong.llm import bpe, decontamination, langid, licenses, negatives, periodic, resampling, rules, simhash, substring, token_counts, toxicity, url_filter
 from furlong.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -141,3 +141,28 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.select("vec_id", "embedding", label.alias("label")), F.col("vec_id") % 100 == 0)
+
+
+SQL["op13_hard_negatives"] = """
+WITH part AS (
+    SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+score AS (
+    SELECT a.vec_id AS anchor_id, a.label = r.label AS same, r.vec_id, CAST(list_inner_product(a.v, r.v) AS BIGINT) AS s
+    FROM part a JOIN part r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
+positive AS (
+    SELECT anchor_id, vec_id AS positive_id, s AS positive_score FROM score WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY s DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s DESC, vec_id) AS INTEGER) AS rank, vec_id AS negative_id, positive_score, s AS negative_score
+FROM positive JOIN (SELECT * FROM score WHERE NOT same) USING (anchor_id)
+WHERE 30 * positive_score <= 100 * s AND 100 * s <= 90 * positive_score
+QUALIFY rank <= 10
+"""

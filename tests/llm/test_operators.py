@@ -313,7 +313,7 @@ def test_resampling_keeps_the_share(docs, corpus):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_queries_take_empty_tables(spark, tmp_path, name):
-    for table in ("documents", "labels", "benchmark", "pages"):
+    for table in ("documents", "labels", "benchmark", "pages", "embeddings"):
         spark.read.parquet(f"/root/testdata/sf0.001/{table}.parquet").limit(0).write.parquet(f"{tmp_path}/{table}.parquet")
     assert QUERIES[name](spark, str(tmp_path)).count() == 0
 
