@@ -11,20 +11,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Copies written per inner array when a row is repeated; keeps arrays short.
-CHUNK = 1024
+# Rows written for one descriptor when rows are repeated: the length of an inner array, and how far a task's output can
+# outgrow its input.
+CHUNK = 64
 
 
 def repeat_rows(df: DataFrame, copies: str) -> DataFrame:
     """Each row ``copies`` times, without the count column.
 
-    Two nested generators, so that no array is longer than ``CHUNK`` or copies / ``CHUNK``.
+    The planner's skew rules look at input bytes, and a few rows with large counts are small. So rows of more than
+    ``CHUNK`` copies are folded (equal ones add up their counts), cut into descriptors of at most ``CHUNK`` copies, and
+    dealt by row and chunk to as many tasks as the session plans for a shuffle; a number given here is not coalesced.
+    Only descriptors travel; each is expanded where it arrives. Rows of fewer copies are expanded in place. Where no row
+    has more, the adaptive planner drops that branch once the counts are known.
     """
-    n = F.col(copies)
-    chunks = df.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.floor((n - 1) / CHUNK).cast("int"))))
-    in_chunk = F.least(F.lit(CHUNK), n - F.col("_chunk") * CHUNK).cast("int")
-    rows = chunks.withColumn("_copy", F.explode(F.sequence(F.lit(1), in_chunk)))
-    return rows.drop("_chunk", "_copy", copies)
+    names, n = [c for c in df.columns if c != copies], F.col(copies)
+    folded = df.where(n > CHUNK).groupBy(*names).agg(F.sum(copies).alias(copies))
+    cut = folded.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / CHUNK))))
+    dealt = cut.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *names, "_chunk")
+    many = dealt.withColumn("_n", F.least(F.lit(CHUNK), n - F.col("_chunk") * CHUNK).cast("int"))
+    few = df.where(n <= CHUNK).withColumn("_n", n.cast("int"))
+    return few.select(*names, "_n").unionByName(many.select(*names, "_n")).withColumn("_copy", F.explode(F.sequence(F.lit(1), "_n"))).select(*names)
 
 
 def lookup_pair(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

@@ -7,40 +7,46 @@ from pyspark.sql import functions as F
 
 # Rows of a group that one task numbers, about.
 BLOCK = 1 << 20
-# Of so many rows of a block, each is picked with the same chance to place the cuts.
-PICKED = 64
+# Rows of a block that are picked to place its cut, about.
+PICKED = 16
+
+# Every PICKED-th of some sorted ids, and the powers of two up to their number, largest first: the steps of a bisection.
+_CUTS = f"filter({{ids}}, (x, n) -> n > 0 AND n % {PICKED} = 0)"
+_STEPS = "filter(transform(sequence(30, 0, -1), b -> shiftleft(1, b)), s -> s <= size({at}))"
+# How many cuts lie below a value: one comparison for each step.
+_BELOW = "aggregate({steps}, 0, (p, s) -> if(coalesce(get({at}, p + s - 1) < {value}, false), p + s, p))"
 
 
 def number_rows(df: DataFrame, key: str, day: str, row_id: str, output: str, block: int = BLOCK) -> DataFrame:
     """``row_number() over (partition by key order by day, row_id)`` for groups of any size and ids of any orderable type.
 
-    ``row_id`` is unique. The rows of each (key, day) are cut into blocks of about ``block`` rows at ids taken from the
-    data: a sample by the hash of the id, the same in every run, with every ``PICKED``-th id a cut. Blocks are numbered
-    by themselves and shifted by the counts of the blocks before them. Dense, sparse and text ids are cut alike, and
-    all keys take this one path; a key with few rows has no cut. The counts come from the shuffle that the numbering
-    needs anyway, so ``df`` is read twice: for the sample and for the rows.
+    ``row_id`` is unique. A key with more than about ``block`` rows is cut into blocks of about that many at (day, id)
+    pairs taken from the data: of a sample by the hash of the id, the same in every run, every ``PICKED``-th is a cut.
+    Each row finds its block by bisection, so it takes log2(cuts) comparisons. Rows are dealt by (key, block), numbered
+    there, and shifted by the counts of the blocks before. All keys take this one path; where no key has a cut, as the
+    adaptive planner sees when the sample is done, both look-ups are empty and drop out of the plan.
     """
     columns = ", ".join(f"r.`{c}`" for c in df.columns)
-    every = max(1, block // PICKED)
+    at = f"named_struct('d', `{day}`, 'i', `{row_id}`)"
     return df.sparkSession.sql(
         f"""
         WITH picked AS (
-            SELECT `{key}` AS k, `{day}` AS d, sort_array(collect_list(`{row_id}`)) AS ids
-            FROM {{rows}} WHERE pmod(xxhash64(`{row_id}`), {every}) = 0 GROUP BY ALL HAVING count(*) > {PICKED}
+            SELECT `{key}` AS k, sort_array(collect_list({at})) AS ids
+            FROM {{rows}} WHERE pmod(xxhash64(`{row_id}`), {max(1, block // PICKED)}) = 0 GROUP BY ALL HAVING count(*) > {PICKED}
         ), cuts AS (
-            SELECT k, d, transform(sequence({PICKED}, size(ids) - 1, {PICKED}), i -> ids[i]) AS at FROM picked
+            SELECT k, at, {_STEPS.format(at="at")} AS steps FROM (SELECT k, {_CUTS.format(ids="ids")} AS at FROM picked)
         ), placed AS (
-            SELECT r.*, coalesce(size(filter(at, c -> c < r.`{row_id}`)), 0) AS _block
-            FROM {{rows}} r LEFT JOIN cuts ON r.`{key}` <=> k AND r.`{day}` <=> d
+            SELECT r.*, at IS NOT NULL AS _cut, coalesce({_BELOW.format(steps="steps", at="at", value=at)}, 0) AS _block
+            FROM {{rows}} r LEFT JOIN cuts ON r.`{key}` <=> k
         ), local AS (
-            SELECT *, row_number() OVER (PARTITION BY `{key}`, `{day}`, _block ORDER BY `{row_id}`) AS _n FROM placed
-        ), piece AS (
-            SELECT `{key}` AS k, `{day}` AS d, _block AS b, count(*) AS n FROM placed GROUP BY ALL
+            SELECT *, row_number() OVER (PARTITION BY `{key}`, _block ORDER BY `{day}`, `{row_id}`) AS _n
+            FROM (SELECT /*+ REPARTITION(`{key}`, _block) */ * FROM placed)
         ), shift AS (
-            SELECT k, d, b, sum(n) OVER (PARTITION BY k ORDER BY d, b) - n AS rows_before FROM piece
+            SELECT k, b, sum(n) OVER (PARTITION BY k ORDER BY b) - n AS rows_before
+            FROM (SELECT `{key}` AS k, _block AS b, count(*) AS n FROM placed WHERE _cut GROUP BY ALL)
         )
-        SELECT {columns}, CAST(r._n + s.rows_before AS BIGINT) AS `{output}`
-        FROM local r JOIN shift s ON r.`{key}` <=> s.k AND r.`{day}` <=> s.d AND r._block = s.b
+        SELECT {columns}, CAST(r._n + coalesce(s.rows_before, 0) AS BIGINT) AS `{output}`
+        FROM local r LEFT JOIN shift s ON r.`{key}` <=> s.k AND r._block = s.b
         """,
         rows=df,
     )
@@ -49,14 +55,30 @@ def number_rows(df: DataFrame, key: str, day: str, row_id: str, output: str, blo
 def number_by_position(df: DataFrame, position: str, output: str, block: int = BLOCK) -> DataFrame:
     """Zero-based number of each row in the order of ``position``, which is unique.
 
-    A global ``row_number`` would sort all rows in one task. This is the numbering above with one key: only the block
-    counts, rows / block of them, meet in one place.
+    A global ``row_number`` would sort all rows in one task. Here the rows are cut as above; the cuts, one for each
+    ``block`` rows, reach the tasks as the value of a subquery, so the look-up is no join and a row is shuffled once.
+    Only the block counts, rows / block of them, meet in one place.
     """
-    # Zero for every row, but not a literal: the planner would turn the join on it into one without a key.
-    zero = F.pmod(F.xxhash64(position), F.lit(1))
-    one = df.withColumns({"_key": zero, "_day": zero})
-    numbered = number_rows(one, "_key", "_day", position, "_number", block)
-    return numbered.select(*df.columns, (F.col("_number") - 1).alias(output))
+    columns = ", ".join(f"r.`{c}`" for c in df.columns)
+    return df.sparkSession.sql(
+        f"""
+        WITH cuts AS (
+            SELECT {_CUTS.format(ids="ids")} AS at
+            FROM (SELECT sort_array(collect_list(`{position}`)) AS ids FROM {{rows}} WHERE pmod(xxhash64(`{position}`), {max(1, block // PICKED)}) = 0)
+        ), known AS (
+            SELECT r.*, (SELECT named_struct('at', at, 'steps', {_STEPS.format(at="at")}) FROM cuts) AS _c FROM {{rows}} r
+        ), placed AS (
+            SELECT *, {_BELOW.format(steps="_c.steps", at="_c.at", value=f"`{position}`")} AS _block FROM known
+        ), local AS (
+            SELECT *, row_number() OVER (PARTITION BY _block ORDER BY `{position}`) AS _n
+            FROM (SELECT /*+ REPARTITION(_block) */ {columns}, _block FROM placed r)
+        ), shift AS (
+            SELECT b, sum(n) OVER (ORDER BY b) - n AS rows_before FROM (SELECT _block AS b, count(*) AS n FROM placed GROUP BY ALL)
+        )
+        SELECT {columns}, CAST(r._n + s.rows_before - 1 AS BIGINT) AS `{output}` FROM local r JOIN shift s ON r._block = s.b
+        """,
+        rows=df,
+    )
 
 
 def batch_number(index: Column, size: int) -> Column:

@@ -128,10 +128,30 @@ def test_gold_join_equals_a_plain_join(spark):
     assert got.count() == sum(n[k] * m[k] for k in n)
 
 
-@pytest.mark.parametrize("copies", [1, 2, 1023, 1024, 1025, 5000])
+@pytest.mark.parametrize("copies", [1, 2, 63, 64, 65, 128, 5000])
 def test_repeat_rows(spark, copies):
-    df = spark.createDataFrame([("a", copies), ("b", 1)], "k string, n long")
-    assert rows(repeat_rows(df, "n").groupBy("k").count()) == [("a", copies), ("b", 1)]
+    df = spark.createDataFrame([("a", copies), ("b", 1), ("a", 70), ("a", 70), (None, 65)], "k string, n long")
+    got = repeat_rows(df, "n")
+    assert got.columns == ["k"] and rows(got.groupBy("k").count()) == sorted([("a", copies + 140), ("b", 1), (None, 65)], key=str)
+
+
+def test_a_hot_race_leaves_from_several_tasks(spark):
+    # 3,000 race rows and 3,000 runners of one race: 9,000,000 rows from 3,000 matches.
+    n = F.col("id")
+    df = spark.range(3000).select(
+        F.lit("hot").alias("track"), F.lit(1).alias("race_number"), F.lit(DAY).alias("race_date"), F.lit("x").alias("race_name"), F.lit(1000).alias("distance_m"),
+        F.lit(None).cast("string").alias("race_class"), F.lit("Good").alias("track_condition"), F.concat(F.lit("h"), n).alias("horse_name"), F.lit("j").alias("jockey"),
+        F.lit("t").alias("trainer"), n.cast("int").alias("barrier"), F.lit(50.0).alias("weight_kg"), F.lit(1).alias("overall_starts"), F.lit(1).alias("overall_wins"),
+        F.lit(0.5).alias("overall_win_pct"), F.lit(False).alias("scratched"))
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",)}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for horses in (df, df.withColumn("horse_name", F.lit("same")).withColumn("barrier", F.lit(1))):
+            per_task = [r["count"] for r in racing.race_runners(racing.races(horses), racing.runners(horses)).groupBy(F.spark_partition_id()).count().collect()]
+            assert sum(per_task) == 9_000_000 and len(per_task) == 4 and max(per_task) < 3_000_000
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
 
 
 # ---------------------------------------------------------------- keyed sink

@@ -128,6 +128,17 @@ def test_positions_number_globally(spark, block):
     assert rows(got) == sorted(((p, i) for i, p in enumerate(sorted(positions))), key=str)
 
 
+def test_steps_of_the_bisection(spark):
+    from furlong.operators import ranking
+
+    steps = ranking._STEPS.format(at="at")
+    below = ranking._BELOW.format(steps="steps", at="at", value="v")
+    cuts = spark.range(200).selectExpr("filter(sequence(0, 400, 2), (x, n) -> n < id) AS at").selectExpr("at", f"{steps} AS steps")
+    asked = cuts.crossJoin(spark.range(-1, 402).selectExpr("id AS v"))
+    wrong = asked.selectExpr("size(at) AS n", "size(steps) AS s", f"{below} AS got", "size(filter(at, c -> c < v)) AS want")
+    assert wrong.where("got <> want OR (n > 0 AND s <> floor(log2(n)) + 1)").isEmpty()
+
+
 def test_starter_models(spark):
     ids = starter.literal_ids(spark)
     assert rows(ids) == [(1,), (None,)]
