@@ -178,6 +178,9 @@ PROXIES = {
         FROM {snapshots}""",
 }
 
+# Proxies that build JSON texts, from tables of one row group each: their rows are dealt out first, or one task builds all.
+COSTLY = ("form_raw", "meetings_raw", "catalogue_raw", "snapshots")
+
 _NAME = re.compile(r"(?<!\{)\{([a-z_]+)\}(?!\})")
 
 
@@ -207,4 +210,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name in DRIVER_TABLES:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
     inputs = {parent: table(spark, sf_dir, parent) for parent in set(_NAME.findall(PROXIES[name]))}
+    if name in COSTLY:
+        inputs = {parent: df.repartition(spark.sparkContext.defaultParallelism) if parent in DRIVER_TABLES else df for parent, df in inputs.items()}
     return spark.sql(PROXIES[name], **inputs)
