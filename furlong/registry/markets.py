@@ -18,8 +18,8 @@ from furlong.registry.core import Inputs, registry
 from furlong.registry.racing import RACE_ROW, rows as race_rows
 from furlong.schemas import BOOK, BOOK_PATHS, CATALOGUE, CATALOGUE_PATHS, with_partitions
 from furlong.sources import audit, bronze, landing, tables
-from furlong.sources.keyed import read_keyed
-from furlong.streaming import files
+from furlong.sources.keyed import compact_latest, read_keyed, read_latest
+from furlong.streaming import files, progress
 
 model, add = registry.model, registry.add
 
@@ -361,6 +361,109 @@ add("u5_stream_gate", "arrival:l passes:b", streamed_gate,
     f"SELECT arrival, ({_cat_ok}) AS passes FROM m_cat_items UNION ALL SELECT arrival, FALSE FROM m_cat_unreadable")
 
 
+# Streams in three batches by ranges of days. Rows of every tenth arrival come with the last batch, whatever their day.
+STREAM_DELAY, LATE = 12, 3
+_BATCH = f"CASE WHEN arrival % 10 = {LATE} THEN 2 ELSE CAST(extracted_date > lo + CAST((hi - lo) // 3 AS INT) AS INT) + CAST(extracted_date > lo + CAST((hi - lo) * 2 // 3 AS INT) AS INT) END"
+_TIME = "CAST(extracted_date AS TIMESTAMP) + to_hours(CAST(SUBSTR(run_time, 1, 2) AS INT)) + to_minutes(CAST(SUBSTR(run_time, 4, 2) AS INT))"
+model("m_days", "SELECT MIN(CAST(ts AS DATE)) AS lo, MAX(CAST(ts AS DATE)) AS hi FROM events")
+model("m_cat_stream", f"SELECT *, {_BATCH} AS batch, {_TIME} AS t FROM m_catalogue, m_days")
+model("m_book_stream", f"SELECT *, {_BATCH} AS batch, {_TIME} AS t FROM m_book_all, m_days")
+# What each batch drops: rows not after the newest time of the batches before, the older one of the two streams', less the delay.
+model("m_watermark", f"""SELECT b.batch, LEAST((SELECT MAX(t) FROM m_cat_stream c WHERE c.batch < b.batch), (SELECT MAX(t) FROM m_book_stream k WHERE k.batch < b.batch))
+    - INTERVAL {STREAM_DELAY} DAY AS w FROM (VALUES (0), (1), (2)) AS b(batch)""")
+
+
+def in_batches(t: Inputs, name: str) -> list:
+    """The landed responses in three parts: by ranges of days, the late ones with the last."""
+    responses = t(name).select("extracted_date", "run_time", "arrival", "body")
+    on_time = in_slices(responses.where(F.col("arrival") % 10 != LATE), "extracted_date")
+    return [*on_time[:-1], on_time[-1].unionByName(responses.where(F.col("arrival") % 10 == LATE))]
+
+
+def event_time():
+    return F.to_timestamp(F.concat_ws(" ", F.col("extracted_date").cast("string"), F.col("run_time")), "yyyy-MM-dd HH-mm")
+
+
+def streamed_catalogue_book(t: Inputs):
+    """Catalogue and book of a market within a day, as a join of two streams; late rows are dropped and counted."""
+    base = t.scratch()
+    parts = {name: in_batches(t, name) for name in ("catalogue_raw", "book_raw")}
+    with progress.watched(t.spark) as seen:
+        for k in range(3):
+            for name, batches in parts.items():
+                batches[k].write.mode("append").json(f"{base}/{name}")
+            landed = {name: files.read_new(t.spark, f"{base}/{name}", batches[0].schema) for name, batches in parts.items()}
+            c = markets.catalogue(landed["catalogue_raw"], KEEP).select("market_id", "market_name", "event_venue", event_time().alias("listed_at"))
+            b = accepted(markets.gated_book(landed["book_raw"], KEEP)).select(F.col("marketId").alias("market_id"), "status", "totalMatched", event_time().alias("booked_at"))
+            joined = files.joined_in_time(c, b, "market_id", "listed_at", "booked_at", f"{STREAM_DELAY} days", "1 DAY")
+            progress.finish(t.spark, files.ingest(joined, f"{base}/table", f"{base}/checkpoint"), seen, f"{base}/audit")
+    late = progress.read_audit(t.spark, f"{base}/audit").agg(F.sum("late").alias("n_late"))
+    schema = "market_id string, market_name string, event_venue string, listed_at timestamp, status string, totalMatched double, booked_at timestamp"
+    return t.spark.read.schema(schema).parquet(f"{base}/table").join(late)
+
+
+add("u_catalogue_book_stream", "market_id market_name event_venue listed_at:t status totalMatched:f booked_at:t n_late:l", streamed_catalogue_book,
+    """SELECT c.market_id, c.market_name, c.event_venue, c.t AS listed_at, b.status, b.totalMatched, b.t AS booked_at, l.n AS n_late
+       FROM (SELECT c.* FROM m_cat_stream c JOIN m_watermark USING (batch) WHERE w IS NULL OR c.t > w) c
+       JOIN (SELECT b.* FROM m_book_stream b JOIN m_watermark USING (batch) WHERE w IS NULL OR b.t > w) b
+         ON c.market_id = b.marketId AND b.t >= c.t AND b.t <= c.t + INTERVAL 1 DAY,
+       (SELECT COUNT(*) AS n FROM (SELECT batch, t FROM m_cat_stream UNION ALL SELECT batch, t FROM m_book_stream) JOIN m_watermark USING (batch) WHERE t <= w) l""")
+
+
+def streamed_latest_book(t: Inputs):
+    """The newest snapshot per market, kept by a stream whose batches come out of order."""
+    base, order = t.scratch(), ("extracted_date", "run_time", "arrival")
+    parts = in_batches(t, "book_raw")
+    for k in (2, 0, 1):
+        parts[k].write.mode("append").json(f"{base}/landed")
+        books = accepted(markets.gated_book(files.read_new(t.spark, f"{base}/landed", parts[k].schema), KEEP))
+        files.keep_latest(books, "marketId", order, ("status", "totalMatched"), f"{base}/table", f"{base}/checkpoint").awaitTermination()
+    schema = T.StructType([T.StructField("marketId", T.StringType()), *(books.schema[c] for c in (*order, "status", "totalMatched"))])
+    compact_latest(t.spark, f"{base}/table", schema, "marketId", order)
+    return read_latest(t.spark, f"{base}/table", schema, "marketId", order)
+
+
+add("w4_latest_book_stream", f"{RUN_SPEC} arrival:l marketId status totalMatched:f", streamed_latest_book, "SELECT * FROM m_latest_book")
+
+
+def streamed_within(t: Inputs):
+    """Markets of both snapshots, distinct within the delay: what was offered, written, dropped as a duplicate and as late."""
+    base = t.scratch()
+    with progress.watched(t.spark) as seen:
+        for part in in_batches(t, "book_raw"):
+            part.select("extracted_date", "run_time", "arrival").write.mode("append").json(f"{base}/landed")
+            stream = files.read_new(t.spark, f"{base}/landed", T.StructType([f for f in part.schema if f.name != "body"]))
+            ids = stream.select(F.floor((F.col("arrival") - 1) / 2).alias("event_id"), event_time().alias("at"))
+            kept = files.distinct_within(ids, ["event_id"], "at", f"{STREAM_DELAY} days")
+            progress.finish(t.spark, files.ingest(kept, f"{base}/table", f"{base}/checkpoint"), seen, f"{base}/audit")
+    counts = progress.read_audit(t.spark, f"{base}/audit").agg(F.sum("offered").alias("offered"), F.sum("duplicates").alias("duplicates"), F.sum("late").alias("late"))
+    written = t.spark.read.schema("event_id long").parquet(f"{base}/table").agg(F.count("event_id").alias("written"), F.countDistinct("event_id").alias("markets"))
+    return counts.join(written).withColumn("whole", F.col("written") + F.col("duplicates") + F.col("late") == F.col("offered"))
+
+
+_OFFERED = f"SELECT CAST(FLOOR((arrival - 1) / 2) AS BIGINT) AS event_id, {_BATCH} AS batch, {_TIME} AS t FROM book_raw, m_days"
+add("u3_distinct_within", "offered:l written:l markets:l duplicates:l late:l whole:b", streamed_within,
+    f"""WITH o AS ({_OFFERED}), w AS (SELECT b.batch, (SELECT MAX(t) FROM o WHERE o.batch < b.batch) - INTERVAL {STREAM_DELAY} DAY AS w FROM (VALUES (0), (1), (2)) AS b(batch)),
+        n AS (SELECT event_id, COALESCE(t <= w, FALSE) AS late FROM o JOIN w USING (batch))
+        SELECT COUNT(*) AS offered, COUNT(DISTINCT event_id) FILTER (NOT late) AS written, COUNT(DISTINCT event_id) FILTER (NOT late) AS markets,
+               COUNT(*) FILTER (NOT late) - COUNT(DISTINCT event_id) FILTER (NOT late) AS duplicates, COUNT(*) FILTER (late) AS late, TRUE AS whole FROM n""")
+
+
+def streamed_gate_counts(t: Inputs):
+    """Accepted and rejected records of each batch of the streaming gate, from its audit."""
+    base = t.scratch()
+    for part in in_batches(t, "catalogue_raw"):
+        part.write.mode("append").json(f"{base}/landed")
+        files.gate_to(files.read_new(t.spark, f"{base}/landed", part.schema), CATALOGUE, CATALOGUE_PATHS, f"{base}/accepted", f"{base}/rejected",
+                      f"{base}/checkpoint", keep=("arrival",), audit=f"{base}/audit").awaitTermination()
+    return t.spark.read.schema("batch_id long, success long, failed long").json(f"{base}/audit")
+
+
+add("u5_batch_counts", "batch_id:l success:l failed:l", streamed_gate_counts,
+    f"""SELECT batch AS batch_id, COUNT(*) FILTER (ok) AS success, COUNT(*) FILTER (NOT ok) AS failed FROM (
+        SELECT {_BATCH} AS batch, ok FROM (SELECT extracted_date, arrival, ({_cat_ok}) AS ok FROM m_cat_items UNION ALL SELECT extracted_date, arrival, FALSE FROM m_cat_unreadable), m_days) GROUP BY 1""")
+
+
 # ---------------------------------------------------------------- the run
 def bronze_days(t: Inputs, plan: list[tuple[str, bool]]):
     """Runs of both feeds, each at half past one UTC of its day, as (day, forced): what they report and what is stored.

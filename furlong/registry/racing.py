@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import functions as F
 
 from furlong.functions import dates, keys, parsing
@@ -147,6 +149,18 @@ def inserted_twice(t: Inputs):
 add("s10_insert_or_ignore", f"{RACE_ROW} arrival:l", inserted_twice,
     "SELECT * FROM m_even UNION ALL SELECT * EXCLUDE (record_created_date, extracted_at) FROM m_history_rows WHERE race_id NOT IN (SELECT race_id FROM m_even)")
 
+
+
+def inserted_at_once(t: Inputs):
+    """Two writers offer all rows at the same time; each id is stored once."""
+    path, offered = t.scratch(), rows(t)
+    with ThreadPoolExecutor(2) as writers:
+        done = list(writers.map(lambda k: insert_or_ignore(offered, path, "race_id", [F.asc("arrival")], partition="meeting_date"), range(2)))
+    return read_keyed(t.spark, path, offered.schema).withColumn("n_inserted", F.lit(sum(done)))
+
+
+add("s10_two_writers", f"{RACE_ROW} arrival:l n_inserted:l", inserted_at_once, "SELECT *, (SELECT COUNT(*) FROM m_history_rows) AS n_inserted FROM m_history_rows")
+
 # ---------------------------------------------------------------- scalar rules
 add("x2_prize", "arrival:l prize prize_total:f bad:b",
     lambda t: forms(t("form_raw")).select("arrival", F.try_variant_get("form", "$.prizeMoney", "string").alias("prize"))

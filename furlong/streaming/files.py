@@ -7,6 +7,7 @@ storage that all executors share.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -16,7 +17,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from furlong.functions.gate import accepted, gate, passes, rejected
 from furlong.sources.audit import observed
-from furlong.sources.keyed import insert_or_ignore
+from furlong.sources.commits import read_text
+from furlong.sources.keyed import add_versions, insert_or_ignore
 from furlong.sources.landing import records
 
 
@@ -55,22 +57,70 @@ def distinct_keys(stream: DataFrame, keys: list[str], event_time: str | None = N
     return stream.dropDuplicates(keys)
 
 
+def distinct_within(stream: DataFrame, keys: list[str], event_time: str, delay: str) -> DataFrame:
+    """First row per key of those not more than ``delay`` apart in event time.
+
+    The state holds a key for the delay. Rows later than the watermark, the newest event time of the batches before less
+    the delay, are dropped; `furlong.streaming.progress` tells how many, and how many as duplicates.
+    """
+    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
+
+
+def joined_in_time(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, delay: str, span: str) -> DataFrame:
+    """Rows of two streams with one key, the right one up to ``span`` after the left one.
+
+    Both sides are held until the slower one's watermark says that no match can come, so the state is bounded by the
+    delay and the span. Rows later than the watermark are dropped and counted.
+    """
+    a = left.withWatermark(left_time, delay)
+    b = right.withWatermark(right_time, delay).withColumnRenamed(key, "_key")
+    near = (F.col(right_time) >= F.col(left_time)) & (F.col(right_time) <= F.col(left_time) + F.expr(f"INTERVAL {span}"))
+    return a.join(b, (F.col(key) == F.col("_key")) & near).drop("_key")
+
+
+def keep_latest(
+    stream: DataFrame, key: str, order: tuple[str, ...], values: tuple[str, ...], table: str, checkpoint: str,
+) -> StreamingQuery:
+    """The latest row of each key as a table of versions: each batch commits the keys whose latest row has changed.
+
+    The running maximum is in the state, a row a key, so rows may come in any order. A batch that is run again finds its
+    folder committed. `keyed.read_latest` reads the table, `keyed.compact_latest` keeps it short.
+    """
+    latest = stream.groupBy(key).agg(F.max(F.struct(*order, *values)).alias("_latest")).select(key, "_latest.*")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        add_versions(batch, table, f"part={stream_id(batch.sparkSession, checkpoint)}-{batch_id}")
+
+    return (
+        latest.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
+    )
+
+
 def gate_to(
     stream: DataFrame, schema: T.StructType, paths: dict[str, str], table: str, quarantine: str,
-    checkpoint: str, keep: tuple[str, ...] = (),
+    checkpoint: str, keep: tuple[str, ...] = (), audit: str | None = None,
 ) -> StreamingQuery:
     """Gate landed responses: accepted rows to one folder, rejected ones with their cause to another.
 
     A batch that is run again after a failure replaces its own folder, so no row shows up twice. A batch is kept nowhere
-    between the writes: the first one counts the rejects, and only if there are some a second pass stores them.
+    between the writes: the first one counts the rejects, and only if there are some a second pass stores them. With
+    ``audit``, the counts of each batch are stored below that folder, too.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        gated, rejects = gate(records(batch, keep), schema, paths, keep=keep), Observation()
+        gated, rejects, written = gate(records(batch, keep), schema, paths, keep=keep), Observation(), Observation()
         seen = gated.observe(rejects, F.count_if(~passes()).alias("n"))
-        accepted(seen).write.mode("overwrite").json(f"{table}/batch_id={batch_id}", ignoreNullFields=False)
-        if observed(rejects) != 0:
-            rejected(gated, keep).write.mode("overwrite").json(f"{quarantine}/batch_id={batch_id}")
+        kept = accepted(seen).observe(written, F.count(F.lit(1)).alias("n"))
+        kept.write.mode("overwrite").json(f"{table}/batch_id={batch_id}", ignoreNullFields=False)
+        failed = observed(rejects)
+        if failed != 0:
+            stored = Observation()
+            rejected(gated, keep).observe(stored, F.count(F.lit(1)).alias("n")).write.mode("overwrite").json(f"{quarantine}/batch_id={batch_id}")
+            failed = observed(stored) or 0
+        if audit:
+            counts = batch.sparkSession.createDataFrame([(observed(written) or 0, failed)], "success long, failed long")
+            counts.coalesce(1).write.mode("overwrite").json(f"{audit}/batch_id={batch_id}")
 
     return _for_each_batch(stream, write, checkpoint)
 
@@ -90,6 +140,11 @@ def insert_new(
     return _for_each_batch(stream, write, checkpoint)
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the stream that a checkpoint belongs to; a new checkpoint has a new one, while its batches start at 0 again."""
+    return json.loads(read_text(spark, f"{checkpoint.rstrip('/')}/metadata"))["id"]
+
+
 def _for_each_batch(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     return (
         stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import random
 from collections import Counter
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 
 import pytest
@@ -14,7 +15,8 @@ from furlong.functions.tracks import tracks_table
 from furlong.operators.joins import repeat_rows
 from furlong.plans import race_history, racing
 from furlong.schemas import FORM_RESPONSES, RACE, SILVER_RUNNERS
-from furlong.sources.keyed import insert_or_ignore, new_rows, read_keyed
+from furlong.sources import commits
+from furlong.sources.keyed import add_versions, compact_latest, insert_or_ignore, new_rows, read_keyed, read_latest
 from furlong.sources.landing import meetings
 from tests.conftest import rows
 
@@ -175,4 +177,63 @@ def test_only_touched_partitions_of_the_target_are_read(spark, tmp_path):
     fresh = new_rows(batch(spark, ("k1", 1, "d1", 1), ("new", 2, "d1", 2)), target, "k", [F.asc("at")], "day")
     assert [r.k for r in fresh.collect()] == ["new"]
     plan = fresh._jdf.queryExecution().executedPlan().toString()
-    assert "dynamicpruning" in plan and "LeftAnti" in plan
+    assert "PartitionFilters: [isnotnull(day" in plan and "(day#" in plan and "= d1)" in plan and "LeftAnti" in plan
+
+
+def test_two_interleaved_writers_store_each_id_once(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    mine = batch(spark, ("a", 1, "d1", 1), ("b", 1, "d1", 1), ("c", 1, "d2", 1))
+    theirs = batch(spark, ("b", 2, "d1", 1), ("d", 2, "d2", 1))
+    write = lambda df: insert_or_ignore(df, path, "k", [F.asc("at")], partition="day")
+    publish, between, counts = commits.publish, [theirs, batch(spark, ("e", 3, "d3", 1)), mine], []
+
+    def late(*given):  # others write between this one's reading and its publishing
+        if between:
+            df = between.pop(0)
+            counts.append(write(df))
+        return publish(*given)
+
+    monkeypatch.setattr(commits, "publish", late)
+    counts.append(write(mine))
+    stored = rows(read_keyed(spark, path, mine.schema), "k", "v")
+    assert [k for k, _ in stored] == ["a", "b", "c", "d", "e"] and sum(counts) == 5
+    assert dict(stored)["e"] == 3 and write(mine) == write(theirs) == 0
+    version = commits.newest(spark, path)
+    assert sorted(p.name for p in (tmp_path / "t" / "data").iterdir()) == sorted(version.folders)
+
+
+def test_threads_that_write_at_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    offers = [batch(spark, *((f"k{i}", w, "d", i) for i in range(w, 40 + w))) for w in range(4)]
+    with ThreadPoolExecutor(4) as pool:
+        done = list(pool.map(lambda df: insert_or_ignore(df, path, "k", [F.asc("at")]), offers))
+    stored = rows(read_keyed(spark, path, offers[0].schema), "k")
+    assert len(stored) == len(set(stored)) == 43 == sum(done)
+
+
+def test_a_version_is_published_once(spark, tmp_path):
+    path = str(tmp_path)
+    assert commits.newest(spark, path) == commits.Version(0, ())
+    assert commits.publish(spark, path, commits.Version(1, ("a",))) and not commits.publish(spark, path, commits.Version(1, ("b",)))
+    assert commits.newest(spark, path) == commits.Version(1, ("a",))
+    assert not [p for p in (tmp_path / "_commits").iterdir() if not p.name.endswith((".json", ".crc"))]
+
+
+def test_compaction_keeps_what_came_in_between(spark, tmp_path, monkeypatch):
+    path, schema = str(tmp_path), "k string, at long, v int"
+    schema = spark.createDataFrame([], schema).schema
+    add = lambda name, *data: add_versions(spark.createDataFrame(data, schema), path, f"part={name}")
+    add("1", ("a", 2, 20), ("b", 1, 1))
+    add("2", ("a", 1, 10), ("b", 5, 50))
+    add("2", ("a", 9, 90))  # that folder is in the table already
+    publish, other = commits.publish, [("a", 7, 70)]
+
+    def late(*given):
+        if other:
+            add("3", other.pop())
+        return publish(*given)
+
+    monkeypatch.setattr(commits, "publish", late)
+    compact_latest(spark, path, schema, "k", ("at",))
+    assert len(commits.newest(spark, path).folders) == 2
+    assert rows(read_latest(spark, path, schema, "k", ("at",))) == [("a", 7, 70), ("b", 5, 50)]

@@ -12,7 +12,7 @@ QUERIES = {name: run for name, run in entry_point.queries().items() if name in l
 SQL = entry_point.oracle_sql()
 
 # Queries that store data while they are built.
-STORES = ("s1_", "s2_", "s3_", "s4_", "s5_", "s10_", "s11_", "s12_", "s14_", "s16_", "s18_", "s19_", "t4_", "u2_", "u3_", "u4_", "u5_", "bronze_run", "catalogue_bronze", "book_bronze")
+STORES = ("s1_", "s2_", "s3_", "s4_", "s5_", "s10_", "s11_", "s12_", "s14_", "s16_", "s18_", "s19_", "t4_", "u2_", "u3_", "u4_", "u5_", "u_catalogue", "w4_latest_book_stream", "bronze_run", "catalogue_bronze", "book_bronze")
 
 # One of each family; check.py runs all of them.
 SAMPLE = [

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from furlong.plans import bronze_run
 from furlong.plans.bronze_run import BronzePaths, RunResult
 from furlong.schemas import BOOK, CATALOGUE, CATALOGUE_PATHS
-from furlong.sources import bronze, landing, tables
-from furlong.streaming import files
+from furlong.sources import bronze, commits, landing, tables
+from furlong.sources.keyed import read_keyed, read_latest
+from furlong.streaming import files, progress
 from tests.conftest import rows
 from tests.test_gate import market
 
@@ -195,7 +196,7 @@ def test_first_writer_over_batches(spark, tmp_path):
         stream = files.read_new(spark, str(source), spark.sql("SELECT '' AS k, 0 AS at").schema)
         files.insert_new(stream, table, "k", ["at"], str(tmp_path / "state")).awaitTermination()
     # The earliest batch has the key; in a batch the lowest `at` does.
-    assert sorted(map(tuple, spark.read.parquet(table).select("k", "at").collect())) == [("a", 4), ("b", 9), ("c", 7), ("d", 8)]
+    assert rows(read_keyed(spark, table, stream.schema), "k", "at") == [("a", 4), ("b", 9), ("c", 7), ("d", 8)]
 
 
 def test_stream_gate_and_insert(spark, tmp_path):
@@ -210,4 +211,62 @@ def test_stream_gate_and_insert(spark, tmp_path):
     accepted = files.read_new(spark, out, spark.sql("SELECT '' AS market_id, 0 AS batch_id").schema)
     for attempt in range(2):
         files.insert_new(accepted, table, "market_id", ["batch_id"], str(tmp_path / f"state{attempt}")).awaitTermination()
-    assert rows(spark.read.parquet(table)) == [("1.1", 0), ("1.2", 1)]
+    assert rows(read_keyed(spark, table, accepted.schema), "market_id", "batch_id") == [("1.1", 0), ("1.2", 1)]
+
+
+def stream_of(spark, source, schema):
+    return files.read_new(spark, str(source), spark.createDataFrame([], schema).schema)
+
+
+def test_latest_rows_whatever_the_order_of_batches(spark, tmp_path):
+    source, table, schema = tmp_path / "in", str(tmp_path / "table"), "k string, at long, v string"
+    kind, state = spark.createDataFrame([], schema).schema, tmp_path / "state"
+    batches = ([("a", 5, "x"), ("b", 1, "y")], [("a", 2, "old"), ("b", 3, "new")], [("c", 1, "z"), ("a", 5, "w")], [("a", 4, "late")])
+    for n, objects in enumerate(batches):
+        land(source, f"{n}.json", *[{"k": k, "at": at, "v": v} for k, at, v in objects])
+        files.keep_latest(stream_of(spark, source, schema), "k", ("at",), ("v",), table, str(state)).awaitTermination()
+    want = [("a", 5, "x"), ("b", 3, "new"), ("c", 1, "z")]
+    assert rows(read_latest(spark, table, kind, "k", ("at",))) == want
+    # The last batch changed nothing, so it committed a folder without rows or none; a new checkpoint starts at batch 0 again.
+    before = commits.newest(spark, table)
+    files.keep_latest(stream_of(spark, source, schema), "k", ("at",), ("v",), table, str(tmp_path / "again")).awaitTermination()
+    assert commits.newest(spark, table).number == before.number + 1
+    assert rows(read_latest(spark, table, kind, "k", ("at",))) == want
+
+
+def test_distinct_within_a_delay_counts_every_row(spark, tmp_path):
+    source, base, schema = tmp_path / "in", str(tmp_path), "k string, at timestamp"
+    at = lambda day: f"2026-05-{day:02}T00:00:00"
+    with progress.watched(spark) as seen:
+        for n, objects in enumerate(([("a", 10), ("a", 11), ("b", 20)], [("a", 12), ("c", 14), ("c", 30)], [("d", 19), ("c", 29), ("e", 31), ("e", 31)])):
+            land(source, f"{n}.json", *[{"k": k, "at": at(day)} for k, day in objects])
+            kept = files.distinct_within(stream_of(spark, source, schema), ["k"], "at", "10 days")
+            progress.finish(spark, files.ingest(kept, f"{base}/table", f"{base}/state"), seen, f"{base}/audit")
+    # Watermarks: none, the 10th, the 20th.
+    audit = progress.read_audit(spark, f"{base}/audit")
+    assert rows(audit, "batch_id", "offered", "late", "duplicates") == [(0, 3, 0, 1), (2, 3, 0, 2), (4, 4, 1, 2)]
+    assert rows(spark.read.parquet(f"{base}/table"), "k") == [("a",), ("b",), ("c",), ("e",)]
+
+
+def test_streams_joined_in_time(spark, tmp_path):
+    base = str(tmp_path)
+    left, right = "k string, a timestamp", "k string, b timestamp"
+    at = lambda day, hour=0: f"2026-05-{day:02}T{hour:02}:00:00"
+    batches = (([("x", at(1)), ("y", at(9))], [("x", at(1, 5)), ("z", at(9))]), ([("z", at(8, 20)), ("old", at(2))], [("y", at(9, 23)), ("y", at(11)), ("x", at(20))]), ([("old", at(2)), ("w", at(20))], [("old", at(2, 1)), ("w", at(20, 1))]))
+    with progress.watched(spark) as seen:
+        for n, (a, b) in enumerate(batches):
+            land(tmp_path / "l", f"{n}.json", *[{"k": k, "a": t} for k, t in a])
+            land(tmp_path / "r", f"{n}.json", *[{"k": k, "b": t} for k, t in b])
+            joined = files.joined_in_time(stream_of(spark, tmp_path / "l", left), stream_of(spark, tmp_path / "r", right), "k", "a", "b", "3 days", "1 DAY")
+            progress.finish(spark, files.ingest(joined, f"{base}/table", f"{base}/state"), seen, f"{base}/audit")
+    # After the first batch the watermark is the 6th: rows of the 2nd are late on either side.
+    assert rows(spark.read.parquet(f"{base}/table"), "k") == [("w",), ("x",), ("y",), ("z",)]
+    assert progress.read_audit(spark, f"{base}/audit").agg({"late": "sum"}).first()[0] == 3
+
+
+def test_audit_of_the_streaming_gate(spark, tmp_path):
+    source, base = tmp_path / "in", str(tmp_path)
+    for n, objects in enumerate(([market(), market(marketId=3)], [market(marketId=4)], [market()])):
+        land(source, f"{n}.json", {"body": json.dumps(objects)})
+        files.gate_to(stream_of(spark, source, "body string"), CATALOGUE, CATALOGUE_PATHS, f"{base}/ok", f"{base}/bad", f"{base}/state", audit=f"{base}/audit").awaitTermination()
+    assert rows(spark.read.json(f"{base}/audit"), "batch_id", "success", "failed") == [(0, 1, 1), (1, 0, 1), (2, 1, 0)]
