@@ -20,6 +20,7 @@ from __future__ import annotations
 import base64
 import re
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 from itertools import chain
@@ -32,7 +33,9 @@ from pyspark.sql import functions as F
 
 from furlong.llm.common import text_bytes
 
-LEAF_CHARS, LEAF_BYTES, KNOWN, ROWS = 16384, 32, 1 << 19, 512
+LEAF_CHARS, LEAF_BYTES, ROWS = 16384, 32, 512
+# What a worker remembers of chunks it has encoded: bytes in all, characters of one chunk, and bytes beside its text and ids.
+HELD_BYTES, HELD_CHARS, ENTRY_BYTES = 32 << 20, 64, 160
 _NONE = 1 << 30
 _UNSAFE, _CUT = re.compile(r" (?:\s|\Z)"), re.compile(r" (?=\S)")
 
@@ -82,6 +85,7 @@ class Bpe:
 
     def forget(self) -> None:
         self.known: dict[str | tuple[str], int] = {}
+        self.held = 0
         self.at, self.flat = np.zeros(1, np.int64), np.zeros(0, np.int32)
 
     # merges in one match
@@ -191,6 +195,13 @@ class Bpe:
         self.at = np.concatenate((self.at, self.at[-1] + np.cumsum([len(r) for r in rows], dtype=np.int64)))
         self.flat = np.concatenate((self.flat, np.fromiter(chain.from_iterable(rows), np.int32)))
 
+    def _drop(self, chunks: list[str | tuple[str]]) -> None:
+        """Forget the chunks that were learned last."""
+        for c in chunks:
+            del self.known[c]
+        self.at = self.at[: len(self.known) + 1]
+        self.flat = self.flat[: self.at[-1]]
+
     # matches in a text
 
     def _node(self, text: str, lo: int, hi: int) -> Node:
@@ -223,14 +234,19 @@ class Bpe:
                 chunks += node[1]
                 chunks.append(node[2])
             ends.append(len(chunks))
-        fresh = set(chunks).difference(self.known)
-        if len(self.known) + len(fresh) > KNOWN:
+        if self.held > HELD_BYTES:
             self.forget()
-            fresh = set(chunks)
-        if fresh:
-            self._learn(list(fresh))
+        fresh = list(set(chunks).difference(self.known))
+        sizes = [len(c) if isinstance(c, str) else len(c[0]) for c in fresh]
+        short = [c for c, n in zip(fresh, sizes, strict=True) if n <= HELD_CHARS]
+        long = [c for c, n in zip(fresh, sizes, strict=True) if n > HELD_CHARS]
+        for group in (short, long):
+            if group:
+                self._learn(group)
+        self.held += ENTRY_BYTES * len(short) + 2 * sum(n for n in sizes if n <= HELD_CHARS)
         place = np.fromiter(map(self.known.__getitem__, chunks), np.int64, len(chunks))
         ids, bounds = _gather(self.flat, self.at[place], self.at[place + 1])
+        self._drop(long)
         return ids, np.concatenate(([0], bounds[ends])) if ends else np.zeros(1, np.int64)
 
     def encode(self, text: str) -> list[int]:
@@ -265,6 +281,16 @@ def load(vocabulary: str, pattern: str | None = None) -> Bpe:
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
 
+@contextmanager
+def lent(vocabulary: str) -> Iterator[Bpe]:
+    """The encoder for one task: a worker outlives its tasks, so what it remembers of their texts goes at the end of each."""
+    bpe = load(vocabulary)
+    try:
+        yield bpe
+    finally:
+        bpe.forget()
+
+
 def _parts(batch: pa.RecordBatch, column: int, size) -> Iterator[pa.RecordBatch]:
     """Slices of at most ROWS rows and about 1 MB (a row at least)."""
     start, sizes = 0, size(batch.column(column))
@@ -285,14 +311,14 @@ def encode(docs: DataFrame, vocabulary: str = VOCABULARY, keep: tuple[str, ...]
     schema = ", ".join(f"_{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep)) + ", ids array<int>" + ", decoded binary" * decoded
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = load(vocabulary)
-        for batch in batches:
-            for part in _parts(batch, at, lambda c: np.diff(text_bytes(c)[1])):
-                ids, bounds = bpe.encode_all([x or "" for x in part.column(at).to_pylist()])
-                out = [*part.columns[:at], pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))]
-                if decoded:
-                    out.append(_binary(*bpe.decode_all(ids, bounds)))
-                yield pa.RecordBatch.from_arrays(out, names=[*(f"_{i}" for i in range(at)), "ids", *["decoded"] * decoded])
+        with lent(vocabulary) as bpe:
+            for batch in batches:
+                for part in _parts(batch, at, lambda c: np.diff(text_bytes(c)[1])):
+                    ids, bounds = bpe.encode_all([x or "" for x in part.column(at).to_pylist()])
+                    out = [*part.columns[:at], pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))]
+                    if decoded:
+                        out.append(_binary(*bpe.decode_all(ids, bounds)))
+                    yield pa.RecordBatch.from_arrays(out, names=[*(f"_{i}" for i in range(at)), "ids", *["decoded"] * decoded])
 
     chosen = docs.select(*(F.col(c).alias(f"_{i}") for i, c in enumerate(keep)), F.col(text).alias("_text"))
     return chosen.mapInArrow(work, schema).select(*(F.col(f"_{i}").alias(c) for i, c in enumerate(keep)), "ids", *["decoded"] * decoded)
@@ -306,11 +332,11 @@ def token_lengths(docs: DataFrame, vocabulary: str = VOCABULARY, text: str = "te
     """One `n_tokens` per row of docs; a null text has length 0."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = load(vocabulary)
-        for batch in batches:
-            for part in _parts(batch, 0, lambda c: np.diff(text_bytes(c)[1])):
-                _, bounds = bpe.encode_all([x or "" for x in part.column(0).to_pylist()])
-                yield pa.RecordBatch.from_arrays([pa.array(np.diff(bounds), pa.int64())], names=["n_tokens"])
+        with lent(vocabulary) as bpe:
+            for batch in batches:
+                for part in _parts(batch, 0, lambda c: np.diff(text_bytes(c)[1])):
+                    _, bounds = bpe.encode_all([x or "" for x in part.column(0).to_pylist()])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.diff(bounds), pa.int64())], names=["n_tokens"])
 
     return docs.select(text).mapInArrow(work, "n_tokens long")
 

@@ -161,6 +161,16 @@ def blocks(column: pa.Array, space: np.ndarray = _SPACE, lower: np.ndarray | Non
         row = end
 
 
+def slices(batch: pa.RecordBatch, column: int, size: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in parts of about so many bytes of a text column, a row at least."""
+    offsets = text_bytes(batch.column(column))[1]
+    row = 0
+    while row < batch.num_rows:
+        end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + size, "right")) - 1)
+        yield batch.slice(row, end - row)
+        row = end
+
+
 def lists(rows: np.ndarray, values: np.ndarray, n: int, kind: pa.DataType) -> pa.Array:
     """A list column of n rows; rows, which must be in order, tells each value's row."""
     offsets = np.searchsorted(rows, np.arange(n + 1)).astype(np.int32)

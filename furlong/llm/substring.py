@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from furlong.llm.common import Block, blocks, saved
 
-WINDOW, RUN, INDEX_WORDS, HOT = 35, 8, 1 << 20, 50_000
+WINDOW, RUN, INDEX_WORDS, HOT = 35, 8, 1 << 18, 16_384
 SEGMENT = "key long, digest long, d long, p long, n int, w int"
 _NAMES = ["key", "digest", "d", "p", "n", "w"]
 

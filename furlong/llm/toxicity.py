@@ -23,33 +23,38 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from furlong.llm.common import held_out, sampled
+from furlong.llm.common import held_out, sampled, slices
 
 DECAY, MIN_RUN, MAX_RUN, LANDMARKS, WIDTH = 0.35, 5, 9, 64, 24
 HEAD, TAIL = "\x02", "\x03"  # the marks
 TRAIN_ROWS = 1500  # bound of the sample of labelled documents of each class
-MIN_DOCS, THRESHOLD, CACHED = 4, 0.3, 1 << 18
+MIN_DOCS, THRESHOLD = 4, 0.3
+# What a task remembers of words it has seen: bytes in all, letters of one word; a longer word is looked at each time.
+SEEN_BYTES, SEEN_LETTERS, ENTRY_BYTES = 32 << 20, 64, 160
+SLICE_BYTES, PAIRS = 2 << 20, 4096
 
 _SENTENCE = re.compile(r"[.!?\n]+(?:\s|$)")
-_FILLED = re.compile(r"[\W_]+|(.)(?=\1)")  # signs between letters, and letters that are doubled
+# Signs between letters, and letters that are doubled; words stand on lines of their own.
+_FILLED = re.compile(r"(?:[^\w\n]|_)+|(.)(?=\1)")
+_MAYBE_SPACED = re.compile(r"(?<!\S)\S[ \t]+\S[ \t]+\S[ \t]+\S")
 _SPACED = re.compile(r"(?<!\S)(?:\S[ \t]+){3,}\S(?!\S)")
 
 
 def kernel(words: np.ndarray, lengths: np.ndarray, mark: np.ndarray, p: int) -> np.ndarray:
-    """Subsequence kernel of order p of many words (rows of letter codes) with one landmark."""
-    n, m = words.shape[1], len(mark)
-    inside = np.arange(n)[None, :] < lengths[:, None]
-    same = (words[:, :, None] == mark) & inside[:, :, None]
-    prime = np.ones((len(words), n + 1, m + 1))
+    """Subsequence kernel of order p of many words (rows of letter codes) with one landmark, or each with its own (rows)."""
+    marks = mark if mark.ndim == 2 else mark[None, :]
+    inside = np.arange(words.shape[1])[None, :] < lengths[:, None]
+    same = (words[:, :, None] == marks[:, None, :]) & inside[:, :, None]
+    prime = np.ones(same.shape)
     for _ in range(p - 1):
-        nxt = np.zeros_like(prime)
-        for i in range(1, n + 1):
-            double = np.zeros(len(words))
-            for j in range(1, m + 1):
-                double = DECAY * double + DECAY**2 * np.where(same[:, i - 1, j - 1], prime[:, i - 1, j - 1], 0.0)
-                nxt[:, i, j] = DECAY * nxt[:, i - 1, j] + double
-        prime = nxt
-    return DECAY**2 * (same * prime[:, :-1, :-1]).sum((1, 2))
+        step = DECAY**2 * same * prime
+        for j in range(1, step.shape[2]):
+            step[:, :, j] += DECAY * step[:, :, j - 1]
+        for i in range(1, step.shape[1]):
+            step[:, i] += DECAY * step[:, i - 1]
+        prime = np.zeros_like(step)
+        prime[:, 1:, 1:] = step[:, :-1, :-1]
+    return DECAY**2 * (same * prime).sum((1, 2))
 
 
 def _codes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -63,6 +68,7 @@ class Landmarks:
     seen: dict[str, np.ndarray | None] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
+        self.held = 0
         letters = sorted({ord(c) for t in self.texts for c in t})
         self.letters = np.array(letters or [0], np.uint32)
         self.marks = [np.array([ord(c) for c in t], np.uint32) for t in self.texts]
@@ -78,8 +84,14 @@ class Landmarks:
         """Features of each word; none where all are zero. Long words count by overlapping parts."""
         parts, owner = [], []
         # A word counts also without signs and doubled letters, so that insults filled with them keep their weight.
-        for i, w in ((i, f"{HEAD}{form}{TAIL}") for i, w in enumerate(words) for form in {w: 0, _FILLED.sub("", w): 0}):
-            for a in range(0, max(1, len(w) - WIDTH // 2), WIDTH // 2):
+        bare = _FILLED.sub("", "\n".join(words)).split("\n") if words else []
+        forms = [(i, f"{HEAD}{w}{TAIL}") for i, w in enumerate(words)] + [(i, f"{HEAD}{b}{TAIL}") for i, (w, b) in enumerate(zip(words, bare, strict=True)) if b != w]
+        for i, w in forms:
+            if len(w) <= WIDTH:
+                parts.append(w)
+                owner.append(i)
+                continue
+            for a in range(0, len(w) - WIDTH // 2, WIDTH // 2):
                 parts.append(w[a : a + WIDTH])
                 owner.append(i)
         codes, lengths = _codes(parts)
@@ -87,17 +99,26 @@ class Landmarks:
         place = np.where(self.letters[place] == codes, place, len(self.letters))
         mask = np.bitwise_or.reduce(self.bits[place], axis=1) if len(parts) else np.zeros(0, np.uint64)
         out: list[np.ndarray | None] = [None] * len(words)
-        for k, (mark, need, own) in enumerate(zip(self.marks, self.masks, self.own, strict=True)):
+        pairs: dict[tuple[int, int], list[tuple[np.ndarray, np.ndarray]]] = {}
+        for k, (mark, need) in enumerate(zip(self.marks, self.masks, strict=True)):
             p = len(mark) - 1
             rows = np.flatnonzero((lengths >= p) & (np.bitwise_count(mask & need) >= np.bitwise_count(need) - 1))
             rows = rows[self._common(place[rows], mark) >= p]
-            if len(rows):
-                values = kernel(codes[rows], lengths[rows], mark, p) / own
-                for r, value in zip(rows, values, strict=True):
-                    i = owner[r]
+            for lo, hi in ((0, WIDTH // 3), (WIDTH // 3, WIDTH // 2), (WIDTH // 2, WIDTH)):  # short words need few columns
+                some = rows[(lengths[rows] > lo) & (lengths[rows] <= hi)]
+                if len(some):
+                    pairs.setdefault((p, hi), []).append((some, np.full(len(some), k)))
+        # All pairs of one order go through the kernel together.
+        for (p, hi), found in pairs.items():
+            rows, which = (np.concatenate(x) for x in zip(*found, strict=True))
+            for a in range(0, len(rows), PAIRS):
+                r, w = rows[a : a + PAIRS], which[a : a + PAIRS]
+                values = kernel(codes[r, :hi], lengths[r], np.stack([self.marks[k] for k in w]), p)
+                for row, k, value in zip(r.tolist(), w.tolist(), values.tolist(), strict=True):
+                    i = owner[row]
                     if out[i] is None:
                         out[i] = np.zeros(len(self.marks))
-                    out[i][k] = max(out[i][k], min(1.0, value))
+                    out[i][k] = max(out[i][k], min(1.0, value / self.own[k]))
         return out
 
     def _common(self, place: np.ndarray, mark: np.ndarray) -> np.ndarray:
@@ -115,20 +136,34 @@ class Landmarks:
         """(text, features) of every sentence with a non-zero feature."""
         lowered = [t.lower() for t in texts]
         words = [t.split() for t in lowered]
-        spaced = [["".join(m.split()) for m in _SPACED.findall(t)] for t in lowered]
-        fresh = list(set().union(*words, *spaced) - self.seen.keys()) if words else []
-        if len(self.seen) + len(fresh) > CACHED:
-            self.seen.clear()
-            fresh = list(set().union(*words, *spaced))
+        # Letters with blanks between them, by sentence, in the few texts that may have some.
+        spaced = {i: ["".join(m.split()) for s in _SENTENCE.split(t) for m in _SPACED.findall(s)] for i, t in enumerate(lowered) if _MAYBE_SPACED.search(t)}
+        if self.held > SEEN_BYTES:
+            self.forget()
+        # In its sentence a word stands without the stops that end it.
+        raw = set().union(*words)
+        asked = {w.rstrip(".!?") for w in raw}.union(*spaced.values())
+        fresh = list(asked - self.seen.keys())
         self.seen.update(zip(fresh, self.vectors(fresh), strict=True))
-        hits = {w for w in set().union(*words, *spaced) if self.seen[w] is not None} if words else set()
-        for i, (text, own, runs) in enumerate(zip(lowered, words, spaced, strict=True)):
-            if hits.isdisjoint(own) and hits.isdisjoint(runs):
+        hits = {w for w in asked if self.seen[w] is not None}
+        ending = {w for w in raw if w.rstrip(".!?") in hits}
+        for i, (text, own) in enumerate(zip(lowered, words, strict=True)):
+            if ending.isdisjoint(own) and hits.isdisjoint(spaced.get(i, ())):
                 continue
             for sentence in _SENTENCE.split(text):
-                found = [self.seen[w] for w in (*sentence.split(), *("".join(m.split()) for m in _SPACED.findall(sentence))) if self.seen.get(w) is not None]
+                found = hits.intersection(sentence.split())
+                if i in spaced:
+                    found |= hits.intersection("".join(m.split()) for m in _SPACED.findall(sentence))
                 if found:
-                    yield i, np.max(found, axis=0)
+                    yield i, np.max([self.seen[w] for w in found], axis=0)
+        for w in fresh:
+            if len(w) > SEEN_LETTERS:
+                del self.seen[w]
+            else:
+                self.held += ENTRY_BYTES + (8 * len(self.marks) if w in hits else 0)
+
+    def forget(self) -> None:
+        self.seen, self.held = {}, 0
 
 
 @dataclass
@@ -184,7 +219,7 @@ def _runs(sample: DataFrame) -> DataFrame:
         seen: Counter = Counter()
         for batch in batches:
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words = set(re.findall(r"[^\W\d_]{4,}", (text or "").lower()))
+                words = set(re.findall(r"[^\W\d_]{3,}", (text or "").lower()))
                 runs = {f"{HEAD}{w}{TAIL}"[part] for w in words for k in range(MIN_RUN, min(len(w) + 2, MAX_RUN) + 1) for part in (slice(k), slice(-k, None))}
                 seen.update((run, label) for run in runs)
                 if len(seen) > 200_000:
@@ -218,8 +253,11 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine:
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: list[list[list[float]]] = [[] for _ in range(batch.num_rows)]
-            for i, x in marks.sentences([t or "" for t in batch.column(0).to_pylist()]):
-                found[i].append(x.tolist())
+            row = 0
+            for part in slices(batch, 0, SLICE_BYTES):
+                for i, x in marks.sentences([t or "" for t in part.column(0).to_pylist()]):
+                    found[row + i].append(x.tolist())
+                row += part.num_rows
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.list_(pa.list_(pa.float64())))], names=["label", "x"])
 
     rows = sorted((r["label"], r["x"]) for r in sample.mapInArrow(features, "label int, x array<array<double>>").collect())
@@ -269,8 +307,7 @@ def score(docs: DataFrame, machine: Machine, keep: tuple[str, ...] = ("doc_id",)
         m = shared.value
         base = m.probability(np.zeros(0))
         for whole in batches:
-            for start in range(0, whole.num_rows, 2048):
-                batch = whole.slice(start, 2048)
+            for batch in slices(whole, at, SLICE_BYTES):
                 found: dict[int, list[np.ndarray]] = {}
                 for i, x in m.landmarks.sentences([t or "" for t in batch.column(at).to_pylist()]):
                     found.setdefault(i, []).append(x)
@@ -280,6 +317,7 @@ def score(docs: DataFrame, machine: Machine, keep: tuple[str, ...] = ("doc_id",)
                     out[i] = m.probability(margins)
                     worst[i] = [t.strip(HEAD + TAIL) for t, v in zip(m.landmarks.texts, x[margins.argmax()], strict=True) if v > 0]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:at], pa.array(out), pa.array(worst, pa.list_(pa.string()))], names=[*(f"_{i}" for i in range(at)), "score", "worst"])
+        m.landmarks.forget()  # a worker outlives its tasks
 
     chosen = docs.select(*(F.col(c).alias(f"_{i}") for i, c in enumerate(keep)), F.col(text).alias("_text"))
     return chosen.mapInArrow(work, schema).select(*(F.col(f"_{i}").alias(c) for i, c in enumerate(keep)), "score", "worst")
