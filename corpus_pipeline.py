@@ -4,11 +4,15 @@ Each stage takes (spark, docs, sf_dir), works on all that the stage before kept,
 the last returns the digests of the encoded texts. Between stages the rows are written as Parquet and read again.
 
 SQL can express none of the stages whole (filters fitted on the data, fingerprint components, latent retrieval, byte
-pairs), so ORACLE_SQL is None; tests/llm compares the run with a brute-force version.
+pairs), so ORACLE_SQL is None; tests/llm checks each operator against plain Python, and the stages of the chain for what
+they keep.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,8 +22,22 @@ from furlong.llm.common import held_out, saved, table
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: A text is rejected if it is `und`, or if the winning language knows fewer than this share of its letter runs.
 MIN_KNOWN = 0.05
+#: Rows of a batch between the JVM and Python. Whole texts travel, some of them long, and both sides hold a batch for each
+#: running task: with Spark's 10,000 rows that was some 100 MB a task on either side.
+ARROW_ROWS = 500
+
+
+def small_batches(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """The stage in a session whose batches are small; the setting stays, as the rows are computed later."""
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+        return stage(spark, docs, sf_dir)
+
+    return run
 
 
+@small_batches
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of an identified language, with the prediction as `lang`. Texts that are null or have no letter go."""
     filters = langid.train(docs.where(~held_out(F.col("doc_id"))))
@@ -27,6 +45,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return done.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("known") >= MIN_KNOWN)).withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 
+@small_batches
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component: the one of smallest id, and of rows with that id one.
 
@@ -46,6 +65,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return with_id.select(*COLUMNS).unionByName(rest.select(*COLUMNS))
 
 
+@small_batches
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents; texts lose the words of repeated windows. Texts that lose nothing stay as they are."""
     done = substring.remove_repeats(docs, keep=COLUMNS)
@@ -55,6 +75,7 @@ def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     }).select(*COLUMNS)
 
 
+@small_batches
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item. A text without an id goes by a hash of the text."""
     own = F.coalesce("doc_id", F.xxhash64("text"))
@@ -63,6 +84,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return docs.withColumn("_own", own).join(gone, "_own", "left_anti").select(*COLUMNS)
 
 
+@small_batches
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """`doc_id`, `n_tokens`, `ids_sha256`, `decoded_sha256` of every document."""
     return bpe.digests(docs)

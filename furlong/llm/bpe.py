@@ -35,7 +35,7 @@ from furlong.llm.common import text_bytes
 
 LEAF_CHARS, LEAF_BYTES, ROWS = 16384, 32, 512
 # What a worker remembers of chunks it has encoded: bytes in all, characters of one chunk, and bytes beside its text and ids.
-HELD_BYTES, HELD_CHARS, ENTRY_BYTES = 32 << 20, 64, 160
+HELD_BYTES, HELD_CHARS, ENTRY_BYTES = 64 << 20, 64, 160
 _NONE = 1 << 30
 _UNSAFE, _CUT = re.compile(r" (?:\s|\Z)"), re.compile(r" (?=\S)")
 
