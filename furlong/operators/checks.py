@@ -1,7 +1,9 @@
-"""Table checks. Each returns the failing rows; no rows means the check passes."""
+"""Table checks. Each returns the failing rows; no rows means the check passes. A report runs all checks of a table in one pass."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,3 +47,51 @@ def expression_is_true(df: DataFrame, expression: str) -> DataFrame:
 def failures(check: DataFrame, name: str) -> DataFrame:
     """One row with the number of failing rows."""
     return check.agg(F.lit(name).alias("check_name"), F.count(F.lit(1)).alias("failures"))
+
+
+@dataclass(frozen=True)
+class Rule:
+    """A declared check of a table: one of the five above by its name, and what it needs."""
+
+    name: str
+    kind: str
+    column: str | None = None
+    values: tuple = ()
+    expression: str | None = None
+    parent: DataFrame | None = None
+    field: str | None = None
+
+
+def report(df: DataFrame, rules: list[Rule], row_id: str) -> DataFrame:
+    """One row per rule: `check_name`, `failures` as the single checks count them, and the least and greatest failing value as text.
+
+    The table is read once. A row gives a (rule, value) pair for each rule that it breaks, or whose outcome depends on
+    other rows; pairs are counted in the map tasks, so a value that fills the table travels once a task. Values are the
+    checked ones; of rules on a row (not null, expressions) the row's id. Parents are read for their own field only.
+    """
+    text = lambda c: F.col(c).cast("string")
+    entries = []
+    for i, r in enumerate(rules):
+        fails, value = {
+            "not_null": lambda r=r: (F.col(r.column).isNull(), text(row_id)),
+            "expression_is_true": lambda r=r: (~F.expr(r.expression), text(row_id)),
+            "unique": lambda r=r: (F.col(r.column).isNotNull(), text(r.column)),
+            "accepted_values": lambda r=r: (~F.col(r.column).isin(*r.values), text(r.column)),
+            "relationships": lambda r=r: (F.col(r.column).isNotNull(), text(r.column)),
+        }[r.kind]()
+        entries.append(F.when(fails, F.struct(F.lit(i).alias("rule"), value.alias("value"))))
+    pairs = df.select(F.inline(F.filter(F.array(*entries), lambda e: e.isNotNull())))
+    counted = pairs.groupBy("rule", "value").agg(F.count(F.lit(1)).alias("n"))
+    of = lambda kind: F.col("rule").isin([i for i, r in enumerate(rules) if r.kind == kind])
+    known = None
+    for i, r in enumerate(rules):
+        if r.kind == "relationships":
+            one = r.parent.where(F.col(r.field).isNotNull()).select(F.lit(i).alias("rule"), text(r.field).alias("value")).distinct()
+            known = one if known is None else known.unionByName(one)
+    counted = counted.withColumn("known", F.lit(False)) if known is None else counted.join(known.withColumn("known", F.lit(True)), ["rule", "value"], "left")
+    n = (F.when(of("unique"), (F.col("n") > 1).cast("long")).when(of("accepted_values"), F.lit(1).cast("long"))
+         .when(of("relationships") & F.coalesce("known", F.lit(False)), F.lit(0).cast("long")).otherwise(F.col("n")))
+    found = counted.withColumn("n", n).where("n > 0").groupBy("rule").agg(F.sum("n").alias("failures"), F.min("value").alias("first_value"), F.max("value").alias("last_value"))
+    names = df.sparkSession.createDataFrame([(i, r.name) for i, r in enumerate(rules)], "rule int, check_name string")
+    return names.join(found, "rule", "left").select("check_name", F.coalesce("failures", F.lit(0)).alias("failures"), "first_value", "last_value")
+

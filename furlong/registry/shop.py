@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from furlong.functions.keys import surrogate_key
@@ -320,3 +322,29 @@ for _key, _frame, _model, _expression in (
 ):
     check(_key, lambda t, f=_frame, e=_expression: checks.expression_is_true(f(t), e),
           f"SELECT 1 FROM {_model} WHERE NOT ({_expression})")
+
+
+# ---------------------------------------------------------------- all checks of a table in one pass
+def declared(t: Inputs) -> list:
+    """Tables, the id of their rows, and the rules declared on them: the checks above, named alike."""
+    rule = checks.Rule
+    keyed = lambda name, column: [rule(f"dq_{name}_{kind}", kind, column) for kind in ("not_null", "unique")]
+    of = {name: keyed(name, column) for name, (_, column) in _KEYS.items()}
+    of["stg_order_items"].append(rule("dq_stg_order_items_order_not_null", "not_null", "order_id"))
+    of["stg_orders"].append(rule("dq_stg_orders_total", "expression_is_true", expression="order_total - tax_paid = subtotal"))
+    tables = [(staged(t, name), _KEYS[name][1], rules) for name, rules in of.items()]
+    items = [*keyed("order_items", "order_item_id"), rule("dq_order_items_relationships", "relationships", "order_id", parent=staged(t, "stg_orders"), field="order_id")]
+    mart = [*keyed("orders", "order_id"), rule("dq_orders_relationships", "relationships", "customer_id", parent=staged(t, "stg_customers"), field="customer_id"),
+            rule("dq_orders_items_subtotal", "expression_is_true", expression="order_items_subtotal = subtotal"), rule("dq_orders_total", "expression_is_true", expression="order_total = subtotal + tax_paid")]
+    people = [*keyed("customers", "customer_id"), rule("dq_customers_accepted_values", "accepted_values", "customer_type", values=CUSTOMER_TYPES),
+              rule("dq_customers_lifetime_spend", "expression_is_true", expression="lifetime_spend_pretax + lifetime_tax_paid = lifetime_spend")]
+    starter_rules = [rule("dq_starter_not_null", "not_null", "id"), rule("dq_starter_unique", "unique", "id")]
+    return [*tables, (order_items(t), "order_item_id", items), (orders(t), "order_id", mart), (customers(t), "customer_id", people), (order_ids(t), "id", starter_rules)]
+
+
+def all_checks(t: Inputs):
+    return reduce(lambda a, b: a.unionByName(b), (checks.report(df, rules, row_id) for df, row_id, rules in declared(t)))
+
+
+add("dq_report", "check_name failures:l", all_checks,
+    " UNION ALL ".join(f"({q.sql})" for name, q in registry.queries.items() if name.startswith("dq_")))

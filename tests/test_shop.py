@@ -156,3 +156,22 @@ def test_checks(spark):
     assert rows(checks.failures(checks.not_null(df, "k"), "c")) == [("c", 2)]
     with pytest.raises(Exception):
         checks.expression_is_true(df, "no_such_column = 1").count()
+
+
+def test_a_report_counts_like_the_single_checks_in_one_pass(spark, tmp_path):
+    data = [(1, 1, "a", 5), (2, 1, "b", None), (None, None, None, 7), (4, 9, "a", -1), (5, 2, "z", 0), (6, 9, "y", 3), (7, 9, "z", -2)]
+    path = str(tmp_path / "t")
+    spark.createDataFrame(data, "id long, k int, v string, n int").write.parquet(path)
+    df, parent = spark.read.parquet(path), spark.createDataFrame([(1,), (2,), (None,), (2,)], "p long")
+    rules = [
+        checks.Rule("id", "not_null", "id"), checks.Rule("one", "unique", "k"), checks.Rule("fine", "unique", "id"), checks.Rule("v", "accepted_values", "v", values=("a", "b")),
+        checks.Rule("n", "expression_is_true", expression="n >= 0"), checks.Rule("parent", "relationships", "k", parent=parent, field="p"), checks.Rule("self", "relationships", "k", parent=df, field="k")]
+    single = {
+        "id": checks.not_null(df, "id"), "one": checks.unique(df, "k"), "fine": checks.unique(df, "id"), "v": checks.accepted_values(df, "v", ["a", "b"]),
+        "n": checks.expression_is_true(df, "n >= 0"), "parent": checks.relationships(df, "k", parent, "p"), "self": checks.relationships(df, "k", df, "k")}
+    got = {r.check_name: tuple(r)[1:] for r in checks.report(df, rules, "id").collect()}
+    assert {k: v[0] for k, v in got.items()} == {k: v.count() for k, v in single.items()}
+    assert got == {"id": (1, None, None), "one": (2, "1", "9"), "fine": (0, None, None), "v": (2, "y", "z"), "n": (2, "4", "7"), "parent": (3, "9", "9"), "self": (0, None, None)}
+    plan = checks.report(df, rules[:5], "id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+    assert {r.failures for r in checks.report(df.limit(0), rules, "id").collect()} == {0}
