@@ -19,7 +19,7 @@ from furlong.registry.racing import RACE_ROW, rows as race_rows
 from furlong.schemas import BOOK, BOOK_PATHS, CATALOGUE, CATALOGUE_PATHS, with_partitions
 from furlong.sources import audit, bronze, landing, tables
 from furlong.sources.keyed import compact_latest, read_keyed, read_latest
-from furlong.streaming import files, progress
+from furlong.streaming import drift, files, progress
 
 model, add = registry.model, registry.add
 
@@ -464,6 +464,41 @@ add("u5_batch_counts", "batch_id:l success:l failed:l", streamed_gate_counts,
         SELECT {_BATCH} AS batch, ok FROM (SELECT extracted_date, arrival, ({_cat_ok}) AS ok FROM m_cat_items UNION ALL SELECT extracted_date, arrival, FALSE FROM m_cat_unreadable), m_days) GROUP BY 1""")
 
 
+# ---------------------------------------------------------------- schema drift
+DRIFTING = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("event_type", T.StringType()), T.StructField("value", T.DoubleType())])
+# From the second third of the ids on some lines have a new key, in the last third some values are no numbers.
+_DRIFT = """SELECT event_id, event_type, value, third >= 1 AND event_id % 5 = 0 AS more, third = 2 AND event_id % 7 = 0 AS bad, third
+    FROM (SELECT event_id, event_type, CAST(value AS DECIMAL(18,2)) AS value,
+          CAST(event_id > lo + CAST(FLOOR((hi - lo) / 3) AS BIGINT) AS INT) + CAST(event_id > lo + CAST(FLOOR((hi - lo) * 2 / 3) AS BIGINT) AS INT) AS third
+          FROM {events} CROSS JOIN (SELECT MIN(event_id) AS lo, MAX(event_id) AS hi FROM {events}))"""
+model("m_drift", _DRIFT.format(events="events"))
+
+
+def drifted(t: Inputs) -> str:
+    """Folder with the table and the log of a stream of lines that change on the way, in three batches."""
+    base = t.scratch()
+    rows = t.spark.sql(_DRIFT, events=t("events"))
+    line = F.concat(F.lit('{"event_id": '), F.col("event_id").cast("string"), F.lit(', "event_type": "'), F.col("event_type"), F.lit('", "value": '),
+                    F.when(F.col("bad"), '"n/a"').otherwise(F.col("value").cast("string")), F.when(F.col("more"), ', "channel": "web"').otherwise(""), F.lit("}"))
+    for k in range(3):
+        rows.where(F.col("third") == k).select(line.alias("value")).write.mode("append").text(f"{base}/landed")
+        drift.ingest_rescued(drift.read_lines(t.spark, f"{base}/landed"), DRIFTING, f"{base}/table", f"{base}/log", f"{base}/checkpoint").awaitTermination()
+    return base
+
+
+def drifted_rows(t: Inputs):
+    schema = T.StructType([*DRIFTING.fields, T.StructField("rescued", T.VariantType())])
+    return t.spark.read.schema(schema).parquet(f"{drifted(t)}/table").withColumn("rescued", F.to_json("rescued"))
+
+
+add("s18_schema_drift", "event_id:l event_type value:f rescued", drifted_rows,
+    """SELECT event_id, event_type, CASE WHEN NOT bad THEN value END AS value, CASE WHEN more AND bad THEN '{"channel":"web","value":"n/a"}'
+       WHEN more THEN '{"channel":"web"}' WHEN bad THEN '{"value":"n/a"}' END AS rescued FROM m_drift""")
+add("s18_schema_log", "batch_id:l key type n:l", lambda t: drift.read_log(t.spark, f"{drifted(t)}/log"),
+    """SELECT third AS batch_id, 'channel' AS key, 'STRING' AS type, COUNT(*) AS n FROM m_drift WHERE more GROUP BY 1
+       UNION ALL SELECT third, 'value', 'STRING', COUNT(*) FROM m_drift WHERE bad GROUP BY 1""")
+
+
 # ---------------------------------------------------------------- the run
 def bronze_days(t: Inputs, plan: list[tuple[str, bool]]):
     """Runs of both feeds, each at half past one UTC of its day, as (day, forced): what they report and what is stored.

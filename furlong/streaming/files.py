@@ -122,7 +122,7 @@ def gate_to(
             counts = batch.sparkSession.createDataFrame([(observed(written) or 0, failed)], "success long, failed long")
             counts.coalesce(1).write.mode("overwrite").json(f"{audit}/batch_id={batch_id}")
 
-    return _for_each_batch(stream, write, checkpoint)
+    return for_each_batch(stream, write, checkpoint)
 
 
 def insert_new(
@@ -137,7 +137,7 @@ def insert_new(
     def write(batch: DataFrame, batch_id: int) -> None:
         insert_or_ignore(batch, table, key, [F.asc(c) for c in order], drop, partition)
 
-    return _for_each_batch(stream, write, checkpoint)
+    return for_each_batch(stream, write, checkpoint)
 
 
 def stream_id(spark: SparkSession, checkpoint: str) -> str:
@@ -145,7 +145,7 @@ def stream_id(spark: SparkSession, checkpoint: str) -> str:
     return json.loads(read_text(spark, f"{checkpoint.rstrip('/')}/metadata"))["id"]
 
 
-def _for_each_batch(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+def for_each_batch(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     return (
         stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()

@@ -14,7 +14,7 @@ from furlong.plans.bronze_run import BronzePaths, RunResult
 from furlong.schemas import BOOK, CATALOGUE, CATALOGUE_PATHS
 from furlong.sources import bronze, commits, landing, tables
 from furlong.sources.keyed import read_keyed, read_latest
-from furlong.streaming import files, progress
+from furlong.streaming import drift, files, progress
 from tests.conftest import rows
 from tests.test_gate import market
 
@@ -270,3 +270,20 @@ def test_audit_of_the_streaming_gate(spark, tmp_path):
         land(source, f"{n}.json", {"body": json.dumps(objects)})
         files.gate_to(stream_of(spark, source, "body string"), CATALOGUE, CATALOGUE_PATHS, f"{base}/ok", f"{base}/bad", f"{base}/state", audit=f"{base}/audit").awaitTermination()
     assert rows(spark.read.json(f"{base}/audit"), "batch_id", "success", "failed") == [(0, 1, 1), (1, 0, 1), (2, 1, 0)]
+
+
+def test_keys_that_the_schema_lacks_are_rescued(spark, tmp_path):
+    source, base = tmp_path / "in", str(tmp_path)
+    schema = spark.createDataFrame([], "k string, n long, tags array<string>").schema
+    source.mkdir()
+    batches = (['{"k": "a", "n": 1, "tags": ["x"]}', '{"k": null}'], ['{"k": "b", "n": "many", "new": {"deep": 1}}', '{"k": "c", "n": "7"}', '{"k": "d", "tags": "no list", "new": 2}'], ["oops", "[1]", ""])
+    for n, lines in enumerate(batches):
+        (source / f"{n}.json").write_text("\n".join(lines))
+        for _ in range(2):  # nothing new the second time
+            drift.ingest_rescued(drift.read_lines(spark, str(source)), schema, f"{base}/table", f"{base}/log", f"{base}/state").awaitTermination()
+    stored = spark.read.schema("k string, n long, tags array<string>, rescued variant").parquet(f"{base}/table").withColumn("rescued", F.to_json("rescued"))
+    assert rows(stored, "k", "n", "rescued") == sorted([
+        ("a", 1, None), (None, None, None), ("b", None, '{"n":"many","new":{"deep":1}}'), ("c", 7, None), ("d", None, '{"new":2,"tags":"no list"}'),
+        (None, None, '{"_line":"oops"}'), (None, None, '{"_line":"[1]"}')] + [(None, None, '{"_line":""}')] * (stored.count() - 7), key=str)
+    log = [r for r in rows(drift.read_log(spark, f"{base}/log")) if r[1] != "_line"]
+    assert log == [(1, "n", "STRING", 1), (1, "new", "BIGINT", 1), (1, "new", "OBJECT<deep: BIGINT>", 1), (1, "tags", "STRING", 1)]
