@@ -121,32 +121,43 @@ def parse_forms(responses: DataFrame) -> DataFrame:
     )
 
 
-def race_rows(responses: DataFrame, tracks: DataFrame, now: Column) -> DataFrame:
-    """Race rows of all readable responses, with ``meeting_date`` and ``arrival``; keys may repeat."""
-    # Parsed before the join: a few columns travel, not the response bodies.
-    read = parse_forms(answered(responses)).where("valid and track is not null")
-    parsed = before_failure(read, first_failures(responses))
+def _race_columns(now: Column) -> list[Column]:
     code = track_code(F.col("track"), F.col("mapped_code"))
     day = F.col("meeting_date")
-    return with_mapped_code(parsed, tracks).select(
+    return [
         race_id(code, day, F.col("race_num")).alias("race_id"),
-        "race_name",
-        "short_race_name",
+        F.col("race_name"),
+        F.col("short_race_name"),
         meeting_id(code, day).alias("meeting_id"),
         F.col("track").alias("venue"),
         F.col("race_num").alias("race_order"),
-        "race_class",
-        "scheduled_date",
+        F.col("race_class"),
+        F.col("scheduled_date"),
         F.lit(RACE_STATUS).alias("race_status"),
-        "distance_meters",
-        "race_condition",
-        "field_size",
-        "prize_total",
+        F.col("distance_meters"),
+        F.col("race_condition"),
+        F.col("field_size"),
+        F.col("prize_total"),
         now.alias("record_created_date"),
         now.alias("extracted_at"),
-        "meeting_date",
-        "arrival",
-    )
+        F.col("meeting_date"),
+        F.col("arrival"),
+    ]
+
+
+def race_rows(responses: DataFrame, tracks: DataFrame, now: Column) -> DataFrame:
+    """Race rows of all readable responses, with ``meeting_date`` and ``arrival``; keys may repeat."""
+    # Parsed before the join: a few columns travel, not the response bodies.
+    read = parse_forms(answered(responses)).where("valid and track is not null")
+    parsed = before_failure(read, first_failures(responses))
+    return with_mapped_code(parsed, tracks).select(*_race_columns(now))
+
+
+def attempted_rows(responses: DataFrame, tracks: DataFrame, now: Column) -> DataFrame:
+    """Race rows of all answered forms, ``good`` false for those that make none (`race_rejects`)."""
+    parsed = before_failure(parse_forms(answered(responses)), first_failures(responses))
+    good = F.coalesce(F.col("valid"), F.lit(False)) & F.col("track").isNotNull()
+    return with_mapped_code(parsed, tracks).select(*_race_columns(now), good.alias("good"))
 
 
 def race_history(responses: DataFrame, tracks: DataFrame, now: Column) -> DataFrame:

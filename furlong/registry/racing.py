@@ -10,7 +10,8 @@ from furlong.functions import dates, keys, parsing
 from furlong.functions.predicates import not_scratched
 from furlong.functions.tracks import TRACK_CODES, tracks_table, with_mapped_code
 from furlong.operators import keyed
-from furlong.plans import race_history, racing
+from furlong.plans import race_history, race_run, racing
+from furlong.plans.race_run import RacePaths
 from furlong.registry.core import Inputs, registry
 from furlong.schemas import RACE
 from furlong.sources.keyed import insert_or_ignore, new_rows, read_keyed
@@ -119,6 +120,31 @@ add("race_audit", "attempted:l inserted:l ignored:l rejected:l",
     """SELECT *, attempted - inserted - rejected AS ignored FROM (
        SELECT (SELECT COUNT(*) FROM m_prefix) AS attempted, (SELECT COUNT(*) FROM m_history_rows) AS inserted,
               (SELECT COUNT(*) FROM m_prefix WHERE arrival NOT IN (SELECT arrival FROM m_valid)) AS rejected)""")
+
+
+def stored_history(t: Inputs) -> tuple[RacePaths, str]:
+    """Meetings of even days of the year first, then all of them, and that run again as after a failure."""
+    root = t.scratch()
+    paths = RacePaths(f"{root}/races", f"{root}/attempts", f"{root}/audit")
+    for run_id, part in (("even", t("form_raw").where("dayofyear(meeting_date) % 2 = 0")), ("all", t("form_raw")), ("all", t("form_raw"))):
+        race_run.run_history(part, tracks_table(t.spark), paths, run_id, now())
+    return paths, "all"
+
+
+model("m_attempts", """SELECT meeting_date, 1 AS attempted, 0 AS inserted, 0 AS rejected FROM m_prefix
+    UNION ALL SELECT meeting_date, 0, 1, 0 FROM m_history_rows
+    UNION ALL SELECT meeting_date, 0, 0, 1 FROM m_prefix WHERE arrival NOT IN (SELECT arrival FROM m_valid)""")
+add("race_run_counts", "run_id attempted:l inserted:l ignored:l rejected:l",
+    lambda t: race_run.read_counts(t.spark, stored_history(t)[0].audit),
+    """SELECT *, attempted - inserted - rejected AS ignored FROM (
+       SELECT 'even' AS run_id, SUM(attempted) AS attempted, SUM(inserted) AS inserted, SUM(rejected) AS rejected
+       FROM m_attempts WHERE dayofyear(meeting_date) % 2 = 0
+       UNION ALL SELECT 'all', SUM(attempted), COALESCE(SUM(inserted) FILTER (dayofyear(meeting_date) % 2 = 1), 0), SUM(rejected) FROM m_attempts)""")
+add("race_run_races", f"{RACE_TABLE} run_id", lambda t: race_run.read_races(t.spark, stored_history(t)[0].races),
+    "SELECT *, CASE WHEN dayofyear(meeting_date) % 2 = 0 THEN 'even' ELSE 'all' END AS run_id FROM m_history_rows")
+add("race_run_rejects", "meeting_date:d venue race_order:l arrival:l",
+    lambda t: (lambda s: race_run.read_rejects(t.spark, s[0].attempts, s[1]))(stored_history(t)),
+    "SELECT meeting_date, track AS venue, race_num AS race_order, arrival FROM m_prefix WHERE arrival NOT IN (SELECT arrival FROM m_valid)")
 add("p14_race_row", f"{RACE_ROW} arrival:l", rows, "SELECT * FROM m_race_rows")
 add("p15_constant_status", "race_id race_status arrival:l", rows, "SELECT * FROM m_race_rows")
 add("p16_load_timestamps", "race_id record_created_date:t extracted_at:t",

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from furlong.functions.tracks import tracks_table
 from furlong.operators.joins import repeat_rows
-from furlong.plans import race_history, racing
+from furlong.plans import race_history, race_run, racing
 from furlong.schemas import FORM_RESPONSES, RACE, SILVER_RUNNERS
 from furlong.sources import commits
 from furlong.sources.keyed import add_versions, compact_latest, insert_or_ignore, new_rows, read_keyed, read_latest
@@ -63,6 +63,28 @@ def test_no_status_ends_the_meeting_and_rejects_are_told(spark):
     assert tuple(counts) == (3, 1, 0, 2)
 
 
+def test_a_run_stores_races_rejects_and_counts(spark, tmp_path):
+    paths = race_run.RacePaths(*(str(tmp_path / n) for n in ("races", "attempts", "audit")))
+    first = forms(spark, ("a", 1, 200, GOOD), ("a", 2, 200, "broken"), ("a", 3, 200, GOOD), ("a", 3, 200, GOOD))
+    second = forms(spark, ("a", 1, 200, GOOD), ("b", 1, 200, GOOD), ("c", 1, 404, GOOD), ("c", 2, 200, GOOD))
+    now = F.lit(datetime(2026, 1, 1))
+    assert race_run.run_history(first, tracks_table(spark), paths, "one", now).first()[1:] == (4, 2, 1, 1)
+    for _ in range(2):  # a second time changes nothing
+        assert race_run.run_history(second, tracks_table(spark), paths, "two", now).first()[1:] == (2, 1, 1, 0)
+    assert rows(race_run.read_races(spark, paths.races), "venue", "race_order", "run_id") == [("a", 1, "one"), ("a", 3, "one"), ("b", 1, "two")]
+    assert [r.race_order for r in race_run.read_rejects(spark, paths.attempts, "one").collect()] == [2]
+    assert race_run.read_rejects(spark, paths.attempts, "two").count() == 0
+    assert rows(race_run.read_counts(spark, paths.audit), "run_id", "attempted") == [("one", 4), ("two", 2)]
+
+
+def test_a_run_that_stopped_before_its_counts_is_counted_whole(spark, tmp_path):
+    paths, now = race_run.RacePaths(*(str(tmp_path / n) for n in ("races", "attempts", "audit"))), F.lit(datetime(2026, 1, 1))
+    landed = forms(spark, ("a", 1, 200, GOOD), ("a", 2, 200, GOOD))
+    # The races were added, the counts were not.
+    race_run.run_history(landed, tracks_table(spark), race_run.RacePaths(paths.races, paths.attempts, str(tmp_path / "lost")), "one", now)
+    assert race_run.run_history(landed, tracks_table(spark), paths, "one", now).first()[1:] == (2, 2, 0, 0)
+
+
 @pytest.mark.parametrize("change,kept", [
     ({"prizeMoney": "N/A"}, False), ({"prizeMoney": ""}, True), ({"prizeMoney": None}, True), ({"prizeMoney": 0}, True),
     ({"prizeMoney": 500}, False), ({"distance": "1400 metres"}, False), ({"distance": ""}, True), ({"distance": 1400}, False),
