@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from furlong.functions.dates import ZONE
 from furlong.functions.gate import accepted, passes, rejected
 from furlong.plans.markets import books_of, gated_book, gated_catalogue, of_day
 from furlong.schemas import CATALOGUE
+from furlong.sources import commits
 from furlong.sources.audit import observed
 from furlong.sources.bronze import has_files, has_run, read_ndjson, write_run
+from furlong.sources.keyed import add_versions
 
+RESULTS = T.StructType([
+    T.StructField("feed", T.StringType()), T.StructField("extracted_date", T.DateType()), T.StructField("run_time", T.StringType()),
+    T.StructField("skipped", T.BooleanType()), T.StructField("success", T.LongType()), T.StructField("failed", T.LongType()),
+])
 MODES = ("catalogue", "book", "all")
 
 
@@ -72,9 +80,12 @@ def run_book(
 def run(
     mode: str, catalogue_responses: DataFrame | None, book_responses: DataFrame | None, paths: BronzePaths,
     day: str | None = None, now: datetime | None = None, overwrite: bool = False,
-    records_per_file: int | None = None,
+    records_per_file: int | None = None, audit: str | None = None,
 ) -> dict[str, RunResult]:
-    """Run one feed or both. ``all`` runs the book only if the catalogue has rows for the day."""
+    """Run one feed or both. ``all`` runs the book only if the catalogue has rows for the day.
+
+    With ``audit`` the outcome of every run, skipped ones too, is added to the table there (`read_results`).
+    """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     now = now or datetime.now(timezone.utc)
@@ -86,9 +97,17 @@ def run(
         results["book"] = run_book(
             book_responses.sparkSession, book_responses, paths, day, now, overwrite, records_per_file
         )
+    if audit:
+        spark = (book_responses if catalogue_responses is None else catalogue_responses).sparkSession
+        add_versions(results_table(spark, results, day, now), audit, f"part={uuid.uuid4().hex}")
     return results
 
 
+def read_results(spark: SparkSession, audit: str) -> DataFrame:
+    """Outcomes of all runs."""
+    return commits.read(spark, audit, RESULTS)
+
+
 def results_table(spark: SparkSession, results: dict[str, RunResult], day: str, now: datetime) -> DataFrame:
     """The outcome of a run as rows: ``feed``, ``extracted_date``, ``run_time``, ``skipped``, ``success``, ``failed``."""
     rows = [(feed, day, _run_time(now), r.skipped, r.success, r.failed) for feed, r in results.items()]

@@ -3,7 +3,7 @@
 A query declares its output columns with a type letter, from which both sides get the same
 plain result types::
 
-    l bigint   f double   m money (as double)   b boolean   s text   d date (as text)
+    l bigint   f double   m money (as exact text)   b boolean   s text   d date (as text)
     t timestamp (as text)
 """
 
@@ -17,6 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from furlong.functions.money import MONEY
 from furlong.registry import proxies
 
 
@@ -52,12 +53,14 @@ class Query:
 def _spark_cast(col: Column, letter: str) -> Column:
     if letter == "t":
         return F.date_format(col, "yyyy-MM-dd HH:mm:ss")
-    return col.cast({"l": "bigint", "f": "double", "m": "double", "b": "boolean", "s": "string"}.get(letter, "date")).cast(
+    if letter == "m":
+        return col.cast(MONEY).cast("string")
+    return col.cast({"l": "bigint", "f": "double", "b": "boolean", "s": "string"}.get(letter, "date")).cast(
         "string" if letter == "d" else _SPARK[letter]
     )
 
 
-_SPARK = {"l": "bigint", "f": "double", "m": "double", "b": "boolean", "s": "string"}
+_SPARK = {"l": "bigint", "f": "double", "b": "boolean", "s": "string"}
 
 
 def _sql_cast(name: str, letter: str) -> str:
@@ -65,7 +68,9 @@ def _sql_cast(name: str, letter: str) -> str:
         return f"strftime({name}, '%Y-%m-%d %H:%M:%S') AS {name}"
     if letter == "d":
         return f"CAST(CAST({name} AS DATE) AS VARCHAR) AS {name}"
-    dtype = {"l": "BIGINT", "f": "DOUBLE", "m": "DOUBLE", "b": "BOOLEAN", "s": "VARCHAR"}[letter]
+    if letter == "m":
+        return f"CAST(CAST({name} AS DECIMAL(16,2)) AS VARCHAR) AS {name}"
+    dtype = {"l": "BIGINT", "f": "DOUBLE", "b": "BOOLEAN", "s": "VARCHAR"}[letter]
     return f"CAST({name} AS {dtype}) AS {name}"
 
 

@@ -166,15 +166,18 @@ add("t4_union_of_files", CAT_SPEC,
 
 
 def file_sizes(t: Inputs):
-    """Records per file of a capped write: how many files and rows, and does any exceed the cap?"""
+    """Records of a capped write by folder: full files, and what is left over in a short one. A folder is one task's here."""
     cap = bronze.CATALOGUE_RECORDS_PER_FILE
     stored = bronze.read_ndjson(t.spark, written_catalogue(t, cap), CATALOGUE).withColumn("file", F.input_file_name())
-    per_file = stored.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
-    return per_file.agg(F.sum("n").alias("n_records"), (F.max("n") <= cap).alias("within_cap"))
+    per_file = stored.groupBy("extracted_date", "run_time", "file").agg(F.count(F.lit(1)).alias("n"))
+    return per_file.groupBy("extracted_date", "run_time").agg(
+        F.sum("n").alias("n_records"), F.count_if(F.col("n") == cap).alias("n_full"), F.count_if(F.col("n") != cap).alias("n_short"), F.max("n").alias("largest"))
 
 
-add("s3_records_per_file", "n_records:l within_cap:b", file_sizes,
-    "SELECT COUNT(*) AS n_records, TRUE AS within_cap FROM m_catalogue")
+add("s3_records_per_file", f"{RUN_SPEC} n_records:l n_full:l n_short:l largest:l", file_sizes,
+    f"""SELECT *, n_records // {bronze.CATALOGUE_RECORDS_PER_FILE} AS n_full, CAST(n_records % {bronze.CATALOGUE_RECORDS_PER_FILE} > 0 AS BIGINT) AS n_short,
+        LEAST(n_records, {bronze.CATALOGUE_RECORDS_PER_FILE}) AS largest
+        FROM (SELECT extracted_date, run_time, COUNT(*) AS n_records FROM m_catalogue GROUP BY 1, 2)""")
 
 
 def second_run_skipped(t: Inputs):

@@ -187,10 +187,17 @@ add("w1_customer_order_number_split", "order_id:l customer_id:l order_date:d cus
     "SELECT order_id, customer_id, order_date, customer_order_number FROM m_orders_mart")
 
 # ---------------------------------------------------------------- scalar
-_variants = ("default", "spark", "postgres", "bigquery", "fabric")
-add("x1_cents_to_dollars", "order_id:l " + " ".join(f"v_{v}:f" for v in _variants),
-    lambda t: t("raw_orders").select(F.col("id").alias("order_id"), *[cents_to_dollars("subtotal", v).alias(f"v_{v}") for v in _variants]),
-    "SELECT id AS order_id, " + ", ".join(f"CAST(subtotal / 100 AS DECIMAL(16,2)) AS v_{v}" for v in _variants) + " FROM raw_orders")
+# Odd cents, and amounts owed. Decimals are compared as text, with their scale; the variant that makes doubles as doubles.
+_variants = ("default", "postgres", "bigquery", "fabric")
+_CENTS = "(subtotal + id % 97) * CASE WHEN id % 5 = 0 THEN -1 ELSE 1 END"
+add("x1_cents_to_dollars", "order_id:l cents:l " + " ".join(f"v_{v}" for v in _variants) + " v_spark:f",
+    lambda t: t("raw_orders").select(F.col("id").alias("order_id"), F.expr(_CENTS).cast("bigint").alias("cents")).select(
+        "*", *[cents_to_dollars("cents", v).alias(f"v_{v}") for v in (*_variants, "spark")]),
+    f"""SELECT order_id, cents, CAST(cents / 100 AS DECIMAL(16,2)) AS v_default,
+        CASE WHEN cents < 0 THEN '-' ELSE '' END || abs(cents) // 100 || '.' || lpad(CAST(abs(cents) % 100 AS VARCHAR), 2, '0') || '0000' AS v_postgres,
+        ROUND(CAST(cents / 100 AS DECIMAL(38,9)), 2) AS v_bigquery, CAST(cents / 100 AS DECIMAL(16,2)) AS v_fabric,
+        ROUND(cents / 100, 2) AS v_spark
+        FROM (SELECT id AS order_id, CAST({_CENTS} AS BIGINT) AS cents FROM raw_orders)""")
 add("x5_surrogate_key", "supply_uuid supply_id:l product_id:l",
     lambda t: t("raw_supplies").select(surrogate_key("id", "sku").alias("supply_uuid"), F.col("id").alias("supply_id"), F.col("sku").alias("product_id")),
     "SELECT supply_uuid, supply_id, product_id FROM m_supplies")
