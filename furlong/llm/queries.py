@@ -65,9 +65,9 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("page_id", "host", iso("fetched_at").alias("fetched"), "blocked", "pattern", iso("listed_at").alias("listed"))
 
 
-SQL["op5_url_filters"] = """
+SQL["op5_url_filters"] = r"""
 WITH page AS (
-    SELECT page_id, coalesce(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://([^/?#:@]+)', 1), '') AS host,
+    SELECT page_id, regexp_extract(regexp_replace(regexp_extract(lower(trim(coalesce(url, ''))), '^[a-z][a-z0-9+.-]*://([^/?#\\]*)', 1), '^.*@', ''), '^(\[[^\]]*\]|[^:]*?)\.*(?::.*)?$', 1) AS host,
         TIMESTAMP '2024-01-01' + to_days(CAST(coalesce(page_id, 0) % 366 AS INTEGER)) AS fetched_at
     FROM pages),
 part AS (SELECT DISTINCT string_split(host, '.') AS p FROM page WHERE host <> ''),

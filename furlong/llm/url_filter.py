@@ -7,15 +7,19 @@ distinct (host, fetch time), so a host that holds a third of all captures is loo
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 END = "9999-12-31 00:00:00"
 
 
-def host_of(url: str):
-    """Lower-case host of a URL column; empty where there is none."""
-    return F.regexp_extract(F.lower(F.coalesce(F.col(url), F.lit(""))), r"^[a-z][a-z0-9+.-]*://([^/?#:@]+)", 1)
+def host_of(url: str) -> Column:
+    """Lower-case host of a URL column, without user, port and final dots; empty where there is none.
+
+    An IPv6 address keeps its brackets. What stands before the last @ of the authority is user information.
+    """
+    authority = F.regexp_extract(F.lower(F.trim(F.coalesce(F.col(url), F.lit("")))), r"^[a-z][a-z0-9+.-]*://([^/?#\\\\]*)", 1)
+    return F.regexp_extract(F.regexp_replace(authority, "^.*@", ""), r"^(\[[^\]]*\]|[^:]*?)\.*(?::.*)?$", 1)
 
 
 def intervals(entries: DataFrame) -> DataFrame:
@@ -40,7 +44,8 @@ def evaluate(captures: DataFrame, entries: DataFrame, url: str = "url", fetched:
     """
     own = captures.drop("host", "blocked", "pattern", "listed_at").withColumn("host", host_of(url))
     asked = own.select("host", F.col(fetched).alias("_at")).where("host <> '' and _at is not null").distinct()
-    labels = F.split("host", r"\.")
+    # An address has no domains above it.
+    labels = F.when(F.col("host").rlike(r"^(\[.*|[0-9]+(\.[0-9]+){3})$"), F.array("host")).otherwise(F.split("host", r"\."))
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     keyed = asked.select("host", "_at", F.explode(suffixes).alias("pattern"))
     active = keyed.join(intervals(entries), "pattern").where("_at >= valid_from and _at < valid_to")
