@@ -1,8 +1,10 @@
 """Quality rules: counts per document, and a linear-chain conditional random field over its lines.
 
 The field has two labels, content and boilerplate, binary features per line and a weight per transition. It is trained
-here on a bounded sample of labelled documents, whose lines take their document's label. Viterbi decoding labels the
-lines; a document stays if enough of its words stand in content lines.
+here on a bounded sample of labelled documents. Only whole documents are labelled, so lines begin with their document's
+label, documents are put together into pages, so that labels change within a page as on real ones, and lines that the
+field reads differently take that label and the field is fitted again; the document's label bounds this, as at least half of
+its lines keep it. Viterbi decoding labels the lines; a document stays if enough of its words stand in content lines.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ SYMBOLS, REPEAT = b"#*$%&|<>", 5
 MIN_WORDS, MAX_REPEAT_PERCENT, MIN_CONTENT = 10, 20, 0.5
 TRAIN_ROWS, ROUNDS, RATE, DECAY = 4000, 120, 0.2, 1e-3
 N_FEATURES = 14
+PAGE, RELABEL = 3, 2  # documents of a training page, rounds of new line labels
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 _IS = {name: np.isin(np.arange(256), list(chars)) for name, chars in {
@@ -177,8 +180,22 @@ def train(labelled: DataFrame) -> Crf:
 
     rows = labelled.select("text", F.col("label").cast("int").alias("label")).mapInArrow(work, "label int, features array<int>").collect()
     rows = sorted((tuple(r["features"]), r["label"]) for r in rows if r["features"])
-    doc = np.repeat(np.arange(len(rows)), [len(f) for f, _ in rows]).astype(np.int64)
-    return fit(doc, np.array([x for f, _ in rows for x in f], np.int32), np.repeat(np.array([y for _, y in rows], np.int64), [len(f) for f, _ in rows]))
+    return fit_pages([np.array(f, np.int32) for f, _ in rows], np.array([y for _, y in rows], np.int64))
+
+
+def fit_pages(docs: list[np.ndarray], label: np.ndarray, seed: int = 7) -> Crf:
+    """A field from the line features of documents and the documents' labels."""
+    order = np.random.default_rng(seed).permutation(len(docs))
+    sizes = np.array([len(docs[i]) for i in order], np.int64)
+    features = np.concatenate([np.zeros(0, np.int32), *(docs[i] for i in order)])
+    own, page = np.repeat(np.arange(len(order)), sizes), np.repeat(np.arange(len(order)) // PAGE, sizes)
+    given = np.repeat(label[order], sizes)
+    crf = fit(page, features, given)
+    for _ in range(RELABEL):
+        read = crf.decode(page, features).astype(np.int64)
+        most = np.bincount(own, read != given, minlength=len(order)) * 2 <= sizes
+        crf = fit(page, features, np.where(most[own], read, given))
+    return crf
 
 
 def judge(docs: DataFrame, crf: Crf, text: str = "text") -> DataFrame:

@@ -8,6 +8,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -181,6 +182,24 @@ def test_viterbi_takes_the_best_path():
         assert label[doc == d].tolist() == paths[int(np.argmax(value))]
 
 
+def test_lines_of_a_mixed_page_have_their_own_labels(spark):
+    rng = np.random.default_rng(4)
+    words = "the river ran slowly past old houses while people walked along its green bank and talked about their long day".split()
+    prose = lambda: " ".join(rng.choice(words, 15)).capitalize() + "."
+    menu = lambda: " | ".join(rng.choice(["Home", "Login", "Shop", "Help", "Cart"], 3))
+    rows = [("\n".join(prose() for _ in range(6)), 1) for _ in range(40)] + [("\n".join(menu() for _ in range(6)), 0) for _ in range(40)]
+    crf = rules.train(spark.createDataFrame(rows, "text string, label int"))
+    page = "\n".join([*(menu() for _ in range(5)), *(prose() for _ in range(9)), *(menu() for _ in range(4))])
+    _, _, block = next(rules.blocks(pa.array([page])))
+    lines = rules.lines_of(block)
+    assert crf.decode(lines.doc, lines.features).tolist() == [0] * 5 + [1] * 9 + [0] * 4
+    texts = [page, rows[0][0], rows[-1][0], None, ""]
+    got = rules.judge(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), crf).orderBy("doc_id").collect()
+    assert [r.kept for r in got] == [True, True, False, False, False]
+    content = sum(len(x.split()) for x in page.split("\n")[5:14])
+    assert got[0].content_share == pytest.approx(content / len(page.split()))
+
+
 def test_kernel_is_the_sum_over_subsequences():
     from itertools import combinations
 
@@ -200,6 +219,18 @@ def test_urls(spark):
     assert url_filter.evaluate(frame, entries.where(at("2024-01-01").isNull())).where("blocked").isEmpty()
 
 
+def test_hosts(spark):
+    urls = {
+        "http://user@bad.org/": "bad.org", "http://a:b@c@Bad.org:80/x@y": "bad.org", "http://[2001:DB8::1]:8080/a": "[2001:db8::1]", "https://bad.org./": "bad.org", "http://bad.org.:80": "bad.org",
+        "http://bad.org\\x": "bad.org", " HTTP://bad.org?q=@z": "bad.org", "http:///a": "", "bad.org/a": "", "": "", None: "", "http://10.0.0.1/": "10.0.0.1", "http://@": "",
+    }
+    got = {r.url: r.host for r in spark.createDataFrame([(u,) for u in urls], "url string").select("url", url_filter.host_of("url").alias("host")).collect()}
+    assert got == urls
+    entries = spark.createDataFrame([("0.1", "add"), ("10.0.0.1", "add"), ("bad.org", "add")], "pattern string, action string").withColumn("at", F.to_timestamp(F.lit("2024-01-01")))
+    pages = spark.createDataFrame([("http://10.0.0.1/", "10.0.0.1"), ("http://u@x.bad.org./", "bad.org"), ("http://9.0.0.1/", None), ("http://[2001:db8::1]/", None)], "url string, want string")
+    assert all(r.pattern == r.want for r in url_filter.evaluate(pages.withColumn("fetched_at", F.to_timestamp(F.lit("2024-01-02"))), entries).collect())
+
+
 def test_lcs():
     rng = np.random.default_rng(1)
     a = [rng.integers(0, 5, n).astype(np.uint64) for n in (1, 8, 64, 70, 30)]
