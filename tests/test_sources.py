@@ -120,6 +120,14 @@ def test_a_forced_run_of_the_same_minute_replaces(spark, paths):
         ("catalogue", False, 1, 1), ("book", False, 1, 1)]
 
 
+def test_outcomes_of_runs_are_kept(spark, paths, tmp_path):
+    audit = str(tmp_path / "results")
+    bronze_run.run("catalogue", responses(spark), None, paths, DAY, MORNING, audit=audit)
+    bronze_run.run("book", None, responses(spark, book("1.1")), paths, DAY, MORNING, audit=audit)
+    got = bronze_run.read_results(spark, audit).orderBy("feed").collect()
+    assert [(r.feed, str(r.extracted_date), r.skipped, r.success, r.failed) for r in got] == [("book", DAY, False, 0, 0), ("catalogue", DAY, False, 0, 0)]
+
+
 def test_no_markets_no_book(spark, paths):
     got = bronze_run.run("all", responses(spark), responses(spark, book("1.1")), paths, DAY, MORNING)
     assert got == {"catalogue": RunResult(False, 0, 0)}
