@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -110,3 +111,28 @@ def test_runners_flat_keeps_empty_markets(spark):
     body = json.dumps([market(), market(marketId="1.2", runners=[]), market(marketId="1.3", runners=None)])
     flat = markets.flat_runners(markets.catalogue(spark.createDataFrame([(body,)], "body string")), markets.CATALOGUE_RUNNER, ("market_id",))
     assert sorted((r.market_id, r.selection_id) for r in flat.collect()) == [("1.1", 1), ("1.2", None), ("1.3", None)]
+
+
+def test_levels_that_are_no_objects_and_rare_kinds(spark):
+    """A level on the way that is no object counts as missing; kinds that few values have are converted as before."""
+    schema = T.StructType([T.StructField("s", T.StringType()), T.StructField("d", T.DoubleType()), T.StructField("n", T.LongType()), T.StructField("b", T.BooleanType())])
+    paths = {"s": "$.x.s", "d": "$.x.y.d", "n": "$.n", "b": "$.x.b"}
+    bodies = ['{"x": 5}', '{"x": [1]}', '{"x": null, "n": 12345678901234567}', '{"x": {"s": "é\\"", "y": {"d": 1e300}, "b": 1.0}, "n": 3.0}',
+              '{"x": {"y": {"d": 0.1}, "b": false}, "n": 1e3}', '{"x": {"y": {"d": {}}}}', '{"x": {"s": {}}}', '{"n": 1e30}', '{"x": {"b": 2.0}}']
+    df = spark.createDataFrame([(i, f"[{b}]") for i, b in enumerate(bodies)], "row int, body string")
+    out = gate(records(df, ("row",)), schema, paths, keep=("row",))
+    assert sorted(tuple(r) for r in accepted(out).collect()) == [
+        (0, None, None, None, None), (1, None, None, None, None), (2, None, None, 12345678901234567, None), (3, 'é"', 1e300, 3, True), (4, None, 0.1, 1000, False)]
+    assert {r.row: r.gate_errors for r in rejected(out, ("row",)).collect()} == {5: ["d"], 6: ["s"], 7: ["n"], 8: ["b"]}
+
+
+def test_no_method_of_the_gate_runs_uncompiled(spark):
+    """The JVM leaves methods of over 8,000 bytes to its interpreter; stages with such a method are not generated whole."""
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+
+
+def test_a_value_is_read_as_a_plain_type_once(spark):
+    """Reading a VARIANT is what the gate spends its time on: values are read as text with the record, not again for each rule."""
+    df = spark.createDataFrame([("[{}]",)], "body string")
+    plan = accepted(markets.gated_book(df))._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.findall(r"try_variant_get\(_v_\w+#\d+, \$, StringType", plan)
