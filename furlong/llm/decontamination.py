@@ -1,8 +1,9 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Passages are windows of words with TF-IDF weights in hashed term space. A randomised singular value decomposition of
-benchmark passages and a bounded sample of corpus passages, with partial products summed in the cluster, gives one latent
-space for all items. Candidates are pairs of a passage and a benchmark item (a stated query set, in blocks): every passage
+all benchmark passages, with partial products summed in the cluster, gives one latent space for all items. Term weights come
+from all documents; their passages need no place in the space, as what lies beside the benchmark's passages adds nothing to a
+product with one of them. Candidates are pairs of a passage and a benchmark item (a stated query set, in blocks): every passage
 is projected, and cosines of NEAR or more are candidates. Their words are checked: the share of the item that is a common
 subsequence with the text around the passage, and the same for the item's answer, its last sentence. A pair with a cosine
 of CLOSE or more may have less in order (clauses that changed places), if its answer stands there word by word.
@@ -24,10 +25,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from furlong.llm.common import Block, blocks, sampled
+from furlong.llm.common import Block, blocks
 
 TERMS, HALF, LATENT, SPARE = 1 << 14, 16, 192, 8
-SAMPLE_DOCS, FIT_TASKS = 500, 2
+FIT_TASKS = 2
 ITEM_BYTES = 4 << 20  # benchmark text of one search of the corpus; bounds what the tasks are sent, and decides nothing else
 COMMON, FAINT = 0.1, 0.05  # terms in a larger share of the documents carry this weight
 LCS, ANSWER, LOOSE_LCS, SURE_ANSWER = 0.7, 0.5, 0.55, 0.8
@@ -207,7 +208,7 @@ def _project(block: Block, rows: np.ndarray, weight: np.ndarray) -> tuple[Passag
 
 
 def _products(texts: DataFrame, q: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """A' A q for the matrix A of all unit passages of the texts (columns `text`, `mass`)."""
+    """A' A q for the matrix A of all unit passages of the texts ."""
     spark = texts.sparkSession
     shared = spark.sparkContext.broadcast((q.astype(np.float32), weight.astype(np.float32)))
     k = q.shape[1]
@@ -216,11 +217,10 @@ def _products(texts: DataFrame, q: np.ndarray, weight: np.ndarray) -> np.ndarray
         q, weight = shared.value
         rows, total = q * weight[:, None], np.zeros((TERMS, k), np.float32)
         for batch in batches:
-            mass = batch.column(1).to_numpy(zero_copy_only=False)
-            for row, _, block in _blocks(batch.column(0)):
+            for _, _, block in _blocks(batch.column(0)):
                 p, y = _project(block, rows, weight)
                 norm = np.sqrt(p.sums(weight[_terms(block)] ** 2))
-                y = y * (mass[row + p.doc] / np.maximum(norm, 1e-6))[:, None].astype(np.float32)
+                y = y / np.maximum(norm, 1e-6)[:, None].astype(np.float32)
                 halves = np.zeros((p.n_halves, k), np.float32)
                 np.add.at(halves, p.left, y)
                 two = p.left != p.right
@@ -285,22 +285,20 @@ def _highest(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def fit(docs: DataFrame, benchmark: DataFrame, text: str = "text", seed: int = 11) -> Space:
-    """The space of all benchmark items (`text`) and a bounded sample of documents; frequencies cover all documents."""
+    """The space of all benchmark items (`text`); frequencies cover all documents."""
     known, n_items = [np.zeros(0, np.uint64)], 0
     for r in benchmark.select("text").toLocalIterator():  # different words of a stated query set
         known[:] = [np.unique(np.concatenate((known[0], *(block.hash for _, _, block in _blocks(pa.array([r["text"]]))))))]
         n_items += 1
     df, n, seen = document_frequencies(docs, text, known[0])
     weight = np.where(df > max(20, COMMON * n), FAINT, np.log((1.0 + n) / (1.0 + df)) + 0.05)
-    sample = sampled(docs.select(F.col(text).alias("text")), SAMPLE_DOCS, n, text).withColumn("mass", F.lit(1.0))
-    # The benchmark weighs more than the corpus, so that the space keeps its items apart: a document has some 16 passages, an item two.
-    mass = max(1.0, 32.0 * max(1, min(n, SAMPLE_DOCS)) / max(1, n_items))
-    both = sample.union(benchmark.select("text", F.lit(mass).alias("mass")))
+    texts = benchmark.select("text")
     q = np.random.default_rng(seed).standard_normal((TERMS, LATENT + SPARE))
-    q, _ = np.linalg.qr(_products(both, q, weight))
-    y = _products(both, q, weight)
+    q, _ = np.linalg.qr(_products(texts, q, weight))
+    y = _products(texts, q, weight)
     value, vector = np.linalg.eigh(q.T @ y)
     order = np.argsort(-value)[:LATENT]
+    order = order[value[order] > 1e-6 * value.max()]  # a small benchmark has fewer directions
     rows = (q @ vector[:, order] * weight[:, None]).astype(np.float32)
     size = np.linalg.norm(rows, axis=1)
     rows[size < 1e-3 * size.max()] = 0  # terms that the space does not hold

@@ -63,3 +63,15 @@ def test_blocks_of_items_change_nothing(spark, monkeypatch):
     assert np.allclose([r[2] for r in one], [r[2] for r in many], atol=1e-3)
     assert {d for d, *_ in one} >= {None, 0, 92} and not {90, 91} & {d for d, *_ in one}
     assert sum(d == 0 for d, *_ in one) == 2 * sum(d is None for d, *_ in one)  # a repeated row is a row of its own
+
+
+def test_the_space_does_not_depend_on_which_documents_are_drawn(spark):
+    """Documents of one word set give one space, in whatever order their words and however many more than a sample they are."""
+    rng = random.Random(7)
+    _, items = planted(random.Random(3), RARE, [30] * 8, [0], 10)
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    texts = [[rng.choice(RARE) for _ in range(30)] for _ in range(1200)]
+    make = lambda some: decontamination.fit(spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(some)], "doc_id long, text string"), bench)
+    one, other = make(texts), make([rng.sample(t, len(t)) for t in texts])
+    assert np.allclose(one.weight, other.weight)
+    assert np.allclose(one.rows @ one.rows[:200].T, other.rows @ other.rows[:200].T, atol=1e-3)
