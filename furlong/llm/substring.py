@@ -24,7 +24,9 @@ from pyspark.sql import functions as F
 
 from furlong.llm.common import Block, blocks, saved
 
-WINDOW, RUN, INDEX_WORDS, HOT = 35, 8, 1 << 18, 16_384
+WINDOW, RUN, INDEX_WORDS, HOT = 35, 8, 1 << 17, 16_384
+#: Text worked on at once. The arrays made of it are some fifty times as large, and a worker keeps what it once took.
+TEXT_BYTES = 1 << 17
 SEGMENT = "key long, digest long, d long, p long, n int, w int"
 _NAMES = ["key", "digest", "d", "p", "n", "w"]
 
@@ -195,7 +197,7 @@ def _found(rows: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             d, t = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            for row, end, block in blocks(batch.column(2)):
+            for row, end, block in blocks(batch.column(2), size=TEXT_BYTES):
                 doc, first, n, key, digest, weight = _segments(block)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key.view(np.int64)), pa.array(digest.view(np.int64)), pa.array(d[row:end][doc]), pa.array(_place(first, t[row:end][doc])), pa.array(n.astype(np.int32)), pa.array(weight, pa.int32())],
@@ -215,7 +217,7 @@ def _parts(batch: pa.RecordBatch) -> Iterator[tuple[int, int, Block, np.ndarray,
     asked = batch.column(3)
     offsets, flat = asked.offsets.to_numpy(), asked.values
     fields = [flat.field(i).to_numpy(zero_copy_only=False) for i in range(4)]
-    for row, end, block in blocks(batch.column(2)):
+    for row, end, block in blocks(batch.column(2), size=TEXT_BYTES):
         lo, hi = offsets[row], offsets[end]
         yield row, end, block, np.repeat(np.arange(end - row), np.diff(offsets[row : end + 1])), tuple(x[lo:hi] for x in fields)
 
@@ -324,7 +326,7 @@ def remove_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: s
             offsets = asked.offsets.to_numpy()
             first, last = (asked.values.field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             kept, words, gone = [], [], []
-            for row, end, block in blocks(batch.column(at)):
+            for row, end, block in blocks(batch.column(at), size=TEXT_BYTES):
                 lo, hi = offsets[row], offsets[end]
                 base = block.first[np.repeat(np.arange(end - row), np.diff(offsets[row : end + 1]))]
                 cover = np.zeros(len(block.starts) + 1, np.int64)

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 
-from furlong.llm import bpe, toxicity
+from furlong.llm import bpe, substring, toxicity
 
 CHINESE = [chr(c) for c in range(0x4E00, 0x5E00)]
 
@@ -68,3 +70,20 @@ def test_a_very_long_text_is_scored_whole(spark):
     rows = [(1, filler), (2, f"{filler}. you idiot"), (3, "i" * 1_000_000), (4, "you idiot")]
     got = {r.doc_id: r.score for r in toxicity.score(spark.createDataFrame(rows, "doc_id long, text string"), machine).collect()}
     assert got[1] == got[3] < 0.3 < got[2] == got[4]
+
+
+def test_what_substring_dedup_makes_of_a_batch_is_bounded():
+    """Texts of 4 MB go through in parts; the arrays made of a part, and so what a worker takes, stay far below the batch's."""
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 9))) for _ in range(500)]
+    texts = [" ".join(rng.choices(words, k=2000)) for _ in range(350)]
+    asked = pa.array([[]] * len(texts), pa.list_(pa.struct([("first", pa.int32()), ("n", pa.int32()), ("key", pa.int64()), ("digest", pa.int64())])))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array([0] * len(texts), pa.int32()), pa.array(texts), asked], names=["d", "t", "text", "asked"])
+    tracemalloc.start()
+    done = 0
+    for row, end, block, _, _ in substring._parts(batch):
+        substring._segments(block)
+        done += end - row
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert done == len(texts) and sum(map(len, texts)) > 3 << 20 and peak < 24 << 20
