@@ -175,3 +175,39 @@ def test_a_report_counts_like_the_single_checks_in_one_pass(spark, tmp_path):
     plan = checks.report(df, rules[:5], "id")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan parquet") == 1
     assert {r.failures for r in checks.report(df.limit(0), rules, "id").collect()} == {0}
+
+
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_report_joins_no_pairs(spark):
+    df = spark.range(20).selectExpr("id", "id % 7 AS k")
+    rules = [checks.Rule("one", "unique", "id"), checks.Rule("parent", "relationships", "k", parent=spark.range(5), field="id"),
+             checks.Rule("other", "relationships", "id", parent=spark.range(3, 18), field="id")]
+    got = checks.report(df, rules, "id")
+    assert optimized(got.select("check_name", "failures")).count("Join ") == 1  # the names' only
+    assert rows(got) == [("one", 0, None, None), ("other", 5, "0", "2"), ("parent", 5, "5", "6")]
+
+
+def test_a_report_keeps_every_text_apart(spark):
+    texts = ["", "0", "00", "000", "a", "0a", "-", "0-", "A", "0A", "a\n", "0\n", "-\n", "\n", " ", "a-", "ab", "..", "::", "1-2/3", "1.2:3", "1_2 3", "é", "0é", "0" * 33, "f" * 32, "F" * 32, "12-34-5", "12a34a5"]
+    df = spark.createDataFrame([(t,) for t in texts for _ in range(2)], "v string")
+    assert rows(checks.report(df, [checks.Rule("v", "unique", "v")], "v"), "failures") == [(len(texts),)]
+    for t in texts:
+        one = checks.report(df.where(F.col("v") == t), [checks.Rule("v", "unique", "v"), checks.Rule("r", "expression_is_true", expression="v IS NULL")], "v")
+        assert rows(one) == [("r", 2, t, t), ("v", 1, t, t)]
+
+
+def test_rows_are_shuffled_once_to_number_them(spark):
+    planned = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(100).selectExpr("id AS order_id", "id % 3 AS customer_id", "date'2026-01-01' + CAST(id % 2 AS int) AS order_date")
+        assert "SortMergeJoin" not in planned(number_rows(df, "customer_id", "order_date", "order_id", "n", 10))
+        # Rows that lie by key are dealt anew, by key and block: a hot key is not one task's.
+        by_key = planned(number_rows(df.repartition("customer_id"), "customer_id", "order_date", "order_id", "n", 10))
+        assert "ENSURE_REQUIREMENTS" in by_key[by_key.index("row_number()"):by_key.index("REPARTITION_BY_COL")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
